@@ -1,0 +1,154 @@
+"""Per-group operators that survive a group holding much of the table.
+
+A window sends each group to one task. That is the best plan for ordinary
+groups. Groups above a row limit are found first (by a count that is combined
+before its shuffle) and taken another way, with the same result.
+
+The list of hot groups is staged, so Spark knows its size and broadcasts it
+only while it is small. It has at most ``rows / hot_rows`` entries.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from watchledger.operators.numbering import (
+    BEFORE,
+    INDEX,
+    PART,
+    number_rows,
+    offsets_before,
+    stage_in_order,
+)
+from watchledger.scratch import Scratch
+
+
+def hot_groups(
+    df: DataFrame, keys: Sequence[str], hot_rows: int, scratch: Scratch
+) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, or None if there are none."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    large = sizes.where(F.col("__rows") > hot_rows).select(*keys)
+    staged = scratch.stage(large, "hot-groups")
+    return None if staged.isEmpty() else staged
+
+
+def split_hot(
+    df: DataFrame, keys: Sequence[str], hot: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary groups and rows of hot groups. Null is a key too."""
+    renamed = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys])
+    same = _all(df[k].eqNullSafe(renamed[f"__hot_{k}"]) for k in keys)
+    return df.join(renamed, same, "left_anti"), df.join(renamed, same, "left_semi")
+
+
+def attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys of which null is one, adding the other columns."""
+    renamed = per_key.withColumnsRenamed({k: f"__key_{k}" for k in keys})
+    same = _all(df[k].eqNullSafe(renamed[f"__key_{k}"]) for k in keys)
+    return df.join(renamed, same).drop(*[f"__key_{k}" for k in keys])
+
+
+def group_total(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    name: str,
+    hot: DataFrame | None,
+    scratch: Scratch,
+) -> DataFrame:
+    """Add the group's sum of ``value`` to each row."""
+    total = F.sum(value).over(Window.partitionBy(*keys)).alias(name)
+    if hot is None:
+        return df.select("*", total)
+    cold_rows, hot_rows = split_hot(df, keys, hot)
+    totals = hot_rows.groupBy(*keys).agg(F.sum(value).alias(name))
+    totals = scratch.stage(totals, "hot-totals")
+    return cold_rows.select("*", total).unionByName(attach(hot_rows, totals, keys))
+
+
+def sequence_in_group(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    hot: DataFrame | None,
+    scratch: Scratch,
+    sequence: str = "sequence",
+    is_last: str = "is_last",
+) -> DataFrame:
+    """Add the row's number in its group and whether it is the group's last.
+
+    ``order`` must be total within a group. A hot group is range-partitioned
+    and numbered as a whole; its own first and last number give the rest.
+    """
+    window = Window.partitionBy(*keys).orderBy(*order)
+    added = [
+        F.row_number().over(window).cast("long").alias(sequence),
+        F.lead(F.lit(1)).over(window).isNull().alias(is_last),
+    ]
+    if hot is None:
+        return df.select("*", *added)
+    cold_rows, hot_rows = split_hot(df, keys, hot)
+    numbered = number_rows(hot_rows, [*keys, *order], scratch, "__n")
+    ends = numbered.groupBy(*keys).agg(
+        F.min("__n").alias("__first"), F.max("__n").alias("__last")
+    )
+    with_ends = attach(numbered, scratch.stage(ends, "hot-ends"), keys)
+    placed = with_ends.select(
+        *df.columns,
+        (F.col("__n") - F.col("__first") + 1).alias(sequence),
+        (F.col("__n") == F.col("__last")).alias(is_last),
+    )
+    return cold_rows.select("*", *added).unionByName(placed)
+
+
+def rank_in_group(
+    df: DataFrame,
+    keys: Sequence[str],
+    metric: str,
+    name: str,
+    hot: DataFrame | None,
+    scratch: Scratch,
+) -> DataFrame:
+    """Add the rank by ``metric`` descending, null first, with gaps after ties."""
+    best_first = F.desc_nulls_first(metric)
+    window = Window.partitionBy(*keys).orderBy(best_first)
+    ranked = F.rank().over(window).cast("long").alias(name)
+    if hot is None:
+        return df.select("*", ranked)
+    cold_rows, hot_rows = split_hot(df, keys, hot)
+    ranks = _rank_of_values(hot_rows, keys, metric, name, scratch)
+    placed = attach(hot_rows, ranks, [*keys, metric])
+    return cold_rows.select("*", ranked).unionByName(placed)
+
+
+def _rank_of_values(
+    df: DataFrame, keys: Sequence[str], metric: str, name: str, scratch: Scratch
+) -> DataFrame:
+    """Rank of each distinct value: one more than the rows with a better one.
+
+    Ties are counted together before anything is ordered, so a value shared by
+    most rows is one row here. The running count is taken within range
+    partitions and moved up by what the partitions before hold.
+    """
+    values = df.groupBy(*keys, metric).agg(F.count(F.lit(1)).alias("__rows"))
+    order = [*keys, F.desc_nulls_first(metric)]
+    staged = stage_in_order(values, order, scratch, name)
+    inside = Window.partitionBy(PART).orderBy(INDEX)
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = F.broadcast(offsets_before(staged, F.sum("__rows")))
+    better = F.coalesce(F.sum("__rows").over(earlier), F.lit(0)) + F.col(BEFORE)
+    counted = staged.join(offsets, PART).select(*keys, metric, better.alias("__better"))
+    counted = scratch.stage(counted, "hot-values")
+    starts = counted.groupBy(*keys).agg(F.min("__better").alias("__start"))
+    starts = scratch.stage(starts, "hot-starts")
+    rank = (F.col("__better") - F.col("__start") + 1).alias(name)
+    return attach(counted, starts, keys).select(*keys, metric, rank)
+
+
+def _all(conditions) -> Column:
+    return reduce(lambda left, right: left & right, conditions)
