@@ -41,10 +41,14 @@ class Scratch:
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return a reader of what was written."""
-        path = f"{self.root}/{next(self._serial):03d}-{name}"
+        path = self.folder(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def folder(self, name: str) -> str:
+        """A path of its own within this run."""
+        return f"{self.root}/{next(self._serial):03d}-{name}"
+
     def drop(self) -> None:
         jvm = self.spark.sparkContext._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.root)
