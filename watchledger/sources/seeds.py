@@ -44,6 +44,17 @@ def read_csv_seed(
     )
 
 
+def write_csv_seed(df: DataFrame, path: str) -> None:
+    """Write a headed CSV that ``read_csv_seed`` reads back unchanged."""
+    df.write.mode("overwrite").csv(
+        path,
+        header=True,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+
+
 def select_renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Pick columns whose names hold blanks or brackets, under new names."""
     return df.select(*[F.col(f"`{raw}`").alias(new) for raw, new in names.items()])
