@@ -1,0 +1,40 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from watchledger import build_session  # noqa: E402
+from watchledger.scratch import Scratch  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session(
+        "tests",
+        "local[8]",
+        {
+            "spark.ui.enabled": "false",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.driver.memory": "6g",
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def scratch(spark, tmp_path):
+    return Scratch(spark, str(tmp_path))
+
+
+@pytest.fixture
+def plan_of():
+    """The executed plan of a DataFrame as text."""
+
+    def text(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    return text

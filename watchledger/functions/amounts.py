@@ -18,8 +18,10 @@ def half_up_ratio(num: Column, den: Column, places: int) -> Column:
     n = num.cast("decimal(30,0)")
     d = F.nullif(den.cast("decimal(30,0)"), F.lit(0).cast("decimal(30,0)"))
     scale = F.lit(Decimal(2 * 10**places))
-    doubled = F.abs(n) * scale + F.abs(d)
-    rounded = F.call_function("div", doubled, F.abs(d) * F.lit(Decimal(2)))
+    doubled, divisor = F.abs(n) * scale + F.abs(d), F.abs(d) * F.lit(Decimal(2))
+    # Dividing what is left without the remainder is exact, and unlike ``div``
+    # it fails on a quotient that does not fit instead of wrapping around.
+    rounded = ((doubled - doubled % divisor) / divisor).cast("decimal(24,0)")
     signed = F.when((n < 0) != (d < 0), -rounded).otherwise(rounded)
     return _shift(signed, places)
 
@@ -52,6 +54,6 @@ def minutes_to_hours(minutes: Column) -> Column:
 
 def _shift(whole: Column, places: int) -> Column:
     if places == 0:
-        return whole.cast("decimal(20,0)")
+        return whole.cast("decimal(24,0)")
     unit = Decimal(1).scaleb(-places)
-    return (whole.cast("decimal(20,0)") * F.lit(unit)).cast(f"decimal(24,{places})")
+    return (whole.cast("decimal(24,0)") * F.lit(unit)).cast(f"decimal(24,{places})")
