@@ -59,13 +59,22 @@ def test_timestamps_do_not_follow_the_session_zone(spark):
         (2, 3, 0, "1"),
         (5, 10, 0, "1"),
         (4, 10, 0, "0"),
-        (10**20 + 5, 10, 0, "10000000000000000001"),
     ],
 )
 def test_ratio_is_half_up(spark, num, den, places, want):
-    whole = F.lit(str(num)).cast("decimal(30,0)")
-    got = one(spark, L.half_up_ratio(whole, F.lit(den), places))
-    assert got == Decimal(want)
+    assert one(spark, L.half_up_ratio(F.lit(num), F.lit(den), places)) == Decimal(want)
+    wide = one(spark, L.half_up_ratio_wide(F.lit(num), F.lit(den), places))
+    assert wide == Decimal(want)
+
+
+def test_large_ratios_are_right_or_fail(spark):
+    num = F.lit(str(10**20 + 5)).cast("decimal(30,0)")
+    wide = one(spark, L.half_up_ratio_wide(num, F.lit(10), 0))
+    assert wide == Decimal("10000000000000000001")
+    for digits in (17, 20):
+        num = F.lit(str(10**digits)).cast("decimal(30,0)")
+        with pytest.raises(Exception, match="OVERFLOW|OUT_OF_RANGE|overflow"):
+            one(spark, L.half_up_ratio(num, F.lit(3), 4))
 
 
 def test_ratio_matches_exact_arithmetic(spark):
@@ -90,8 +99,7 @@ def test_zero_divisors_give_null(spark):
     zero = F.lit(0).cast("long")
     assert one(spark, L.half_up_ratio(F.lit(3), zero, 2)) is None
     assert one(spark, L.share_4dp(F.lit(3), zero)) is None
-    amount = F.lit(Decimal("1.00"))
-    assert one(spark, L.ratio_of_cents(amount, F.lit(Decimal("0.00")), 2)) is None
+    assert one(spark, L.half_up_ratio_wide(F.lit(3), zero, 2)) is None
 
 
 def test_amounts(spark):
@@ -100,10 +108,8 @@ def test_amounts(spark):
     refund = F.lit(Decimal("-0.18")).cast("decimal(12,2)")
     assert one(spark, L.amortize_monthly(refund)) == Decimal("-0.02")
     assert one(spark, L.minutes_to_hours(F.lit(100))) == Decimal("1.67")
-    growth = L.ratio_of_cents(
-        F.lit(Decimal("-1.00")), F.lit(Decimal("3.00")), 2, percent=True
-    )
-    assert one(spark, growth) == Decimal("-33.33")
+    mean = L.mean_of_amounts(F.lit(Decimal("-0.05")), F.lit(2))
+    assert one(spark, mean) == Decimal("-0.03")
 
 
 def test_texts(spark):

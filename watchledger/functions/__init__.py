@@ -1,8 +1,9 @@
 from watchledger.functions.amounts import (
     amortize_monthly,
     half_up_ratio,
+    half_up_ratio_wide,
+    mean_of_amounts,
     minutes_to_hours,
-    ratio_of_cents,
     share_4dp,
 )
 from watchledger.functions.texts import blank_to_null, first_match, is_filled
@@ -19,11 +20,12 @@ __all__ = [
     "date_key",
     "first_match",
     "half_up_ratio",
+    "half_up_ratio_wide",
+    "mean_of_amounts",
     "is_filled",
     "minutes_to_hours",
     "month_start",
     "parse_mixed_timestamp",
-    "ratio_of_cents",
     "recency_status",
     "share_4dp",
 ]

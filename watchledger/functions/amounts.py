@@ -14,7 +14,21 @@ from pyspark.sql import functions as F
 
 
 def half_up_ratio(num: Column, den: Column, places: int) -> Column:
-    """``num / den`` of two whole numbers to ``places``; null if ``den`` is 0."""
+    """``num / den`` of two longs to ``places``; null if ``den`` is 0.
+
+    Long arithmetic, so that wide results stay fast. A numerator too large to
+    be doubled and scaled fails instead of wrapping around (ANSI mode).
+    """
+    n = num.cast("long")
+    d = F.nullif(den.cast("long"), F.lit(0).cast("long"))
+    doubled = F.abs(n) * (2 * 10**places) + F.abs(d)
+    rounded = F.call_function("div", doubled, F.abs(d) * 2)
+    signed = F.when((n < 0) != (d < 0), -rounded).otherwise(rounded)
+    return _shift(signed, places, 18)
+
+
+def half_up_ratio_wide(num: Column, den: Column, places: int) -> Column:
+    """The same for whole numbers of up to 30 digits, for a few grand totals."""
     n = num.cast("decimal(30,0)")
     d = F.nullif(den.cast("decimal(30,0)"), F.lit(0).cast("decimal(30,0)"))
     scale = F.lit(Decimal(2 * 10**places))
@@ -23,24 +37,22 @@ def half_up_ratio(num: Column, den: Column, places: int) -> Column:
     # it fails on a quotient that does not fit instead of wrapping around.
     rounded = ((doubled - doubled % divisor) / divisor).cast("decimal(24,0)")
     signed = F.when((n < 0) != (d < 0), -rounded).otherwise(rounded)
-    return _shift(signed, places)
-
-
-def ratio_of_cents(num: Column, den: Column, places: int, percent: bool = False) -> Column:
-    """Ratio of two amounts with two decimals, optionally as a percentage."""
-    n, d = cents(num), cents(den)
-    return half_up_ratio(n * 100 if percent else n, d, places)
+    return _shift(signed, places, 24)
 
 
 def cents(amount: Column) -> Column:
     return (amount * F.lit(Decimal(100))).cast("decimal(28,0)")
 
 
+def mean_of_amounts(total: Column, count: Column) -> Column:
+    """Mean of amounts with two decimals, half up to cents."""
+    whole = half_up_ratio(cents(total), count, 0)
+    return (whole * F.lit(Decimal("0.01"))).cast("decimal(20,2)")
+
+
 def share_4dp(part: Column, whole: Column) -> Column:
-    """Share of non-negative whole numbers to four places, in long arithmetic."""
-    whole = F.nullif(whole.cast("long"), F.lit(0).cast("long"))
-    rounded = F.call_function("div", part.cast("long") * 20_000 + whole, whole * 2)
-    return _shift(rounded, 4).cast("decimal(9,4)")
+    """Share of a whole to four places."""
+    return half_up_ratio(part, whole, 4).cast("decimal(9,4)")
 
 
 def amortize_monthly(yearly: Column, months: int = 12) -> Column:
@@ -52,8 +64,8 @@ def minutes_to_hours(minutes: Column) -> Column:
     return half_up_ratio(minutes, F.lit(60), 2)
 
 
-def _shift(whole: Column, places: int) -> Column:
+def _shift(whole: Column, places: int, digits: int) -> Column:
+    whole = whole.cast(f"decimal({digits},0)")
     if places == 0:
-        return whole.cast("decimal(24,0)")
-    unit = Decimal(1).scaleb(-places)
-    return (whole.cast("decimal(24,0)") * F.lit(unit)).cast(f"decimal(24,{places})")
+        return whole
+    return whole * F.lit(Decimal(1).scaleb(-places))

@@ -8,44 +8,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Day-first text and its ISO form, by the digits of the year.
+# Two-digit years from 70 on belong to the 1900s, the others to the 2000s. The
+# time may be missing; what follows the minutes is ignored.
+DAY_FIRST = r"^\s*(\d{1,2})/(\d{1,2})/(YEAR)(?!\d)\s*((?:\d{1,2}(?::\d{1,2})?)?).*$"
+ISO_FORMS = (
+    (r"[0-6]\d", "20$3-$2-$1 $4"),
+    (r"[7-9]\d", "19$3-$2-$1 $4"),
+    (r"\d{4}", "$3-$2-$1 $4"),
+)
+
+
 def parse_mixed_timestamp(text: Column) -> Column:
     """Day-first text with slashes, ISO text with dashes, otherwise null.
 
-    Text that has the separator but is no date gives null as well.
+    Text that has the separator but is no date gives null as well. Rewriting
+    to ISO keeps each value to one cast: taking it apart piece by piece
+    evaluates the same pieces over and over inside the CASE.
     """
-    return F.when(text.contains("/"), _day_first(text)).when(
+    iso = text
+    for year, form in ISO_FORMS:
+        iso = F.regexp_replace(iso, DAY_FIRST.replace("YEAR", year), form)
+    return F.when(text.contains("/"), iso.try_cast("timestamp_ntz")).when(
         text.contains("-"), text.try_cast("timestamp_ntz")
     )
 
 
-def _day_first(text: Column) -> Column:
-    """``DD/MM/YY HH24:MI``; digits may be single and the time may be missing."""
-    text = F.trim(text)
-
-    def piece(of: Column, mark: str, n: int) -> Column:
-        return F.split_part(of, F.lit(mark), F.lit(n))
-
-    after_month = piece(text, "/", 3)
-    year_text = piece(after_month, " ", 1)
-    clock = F.ltrim(F.substring(after_month, F.length(year_text) + 1, F.lit(40)))
-    year = year_text.try_cast("int")
-    # Two-digit years: 70 to 99 belong to the 1900s, 00 to 69 to the 2000s.
-    century = F.when(year < 70, 2000).when(year < 100, 1900).otherwise(0)
-    minute = piece(piece(clock, ":", 2), " ", 1)
-    return F.try_make_timestamp_ntz(
-        year + century,
-        piece(text, "/", 2).try_cast("int"),
-        piece(text, "/", 1).try_cast("int"),
-        _zero_if_absent(piece(clock, ":", 1)),
-        _zero_if_absent(minute),
-        F.lit(0).cast("decimal(16,6)"),
-    )
-
-
-def _zero_if_absent(digits: Column) -> Column:
-    return F.when(digits == "", F.lit(0)).otherwise(digits.try_cast("int"))
-
-
 def date_key(when: Column) -> Column:
     """Date as the whole number ``YYYYMMDD``."""
     key = F.year(when) * 10_000 + F.month(when) * 100 + F.day(when)

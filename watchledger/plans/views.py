@@ -5,6 +5,9 @@ month. Summing per course key before meeting the dimension therefore gives the
 number of customers as a plain count, and only small tables are joined. When
 two course keys share a name that no longer holds, so ``_per_course`` looks
 and then counts customers exactly.
+
+Ratios are computed after the final sort: sampling for the sort evaluates what
+lies below it a second time.
 """
 
 from __future__ import annotations
@@ -17,8 +20,9 @@ from pyspark.sql import functions as F
 
 from watchledger.functions import (
     half_up_ratio,
+    half_up_ratio_wide,
+    mean_of_amounts,
     minutes_to_hours,
-    ratio_of_cents,
     recency_status,
 )
 from watchledger.functions.amounts import cents
@@ -27,7 +31,6 @@ from watchledger.scratch import Scratch
 from watchledger.settings import Settings
 
 TITLE = ("course_name", "course_type", "course_instructor")
-CENT = Decimal("0.01")
 
 
 def view_monthly_mrr_arr(attribution: DataFrame) -> DataFrame:
@@ -69,7 +72,8 @@ def view_monthly_mrr_arr(attribution: DataFrame) -> DataFrame:
     mrr_before = F.lag("mrr").over(last_month)
     customers_before = F.lag("total_customers").over(last_month)
     retained = F.col("retained_customers").cast("decimal(20,0)")
-    arpu = half_up_ratio(cents(F.col("mrr")), F.col("total_customers"), 0)
+    net_cents, mrr_cents = cents(net_new), cents(F.col("mrr"))
+    hundred_customers = F.col("total_customers").cast("decimal(20,0)") * 100
     return months.select(
         F.col("revenue_month").alias("month"),
         "mrr",
@@ -79,17 +83,17 @@ def view_monthly_mrr_arr(attribution: DataFrame) -> DataFrame:
         "expansion_mrr",
         "contraction_mrr",
         net_new.alias("net_new_mrr"),
-        ratio_of_cents(net_new, mrr_before, 2, percent=True).alias(
+        half_up_ratio_wide(net_cents * 100, cents(mrr_before), 2).alias(
             "mrr_growth_rate_pct"
         ),
         "total_customers",
         "new_customers",
         "retained_customers",
-        half_up_ratio(retained * 100, customers_before, 2).alias(
+        half_up_ratio_wide(retained * 100, customers_before, 2).alias(
             "customer_retention_rate_pct"
         ),
-        _from_cents(arpu).alias("arpu"),
-        ratio_of_cents(gained, lost, 2).alias("quick_ratio"),
+        half_up_ratio_wide(mrr_cents, hundred_customers, 2).alias("arpu"),
+        half_up_ratio_wide(cents(gained), cents(lost), 2).alias("quick_ratio"),
     ).orderBy(F.desc("month"))
 
 
@@ -121,14 +125,16 @@ def view_course_revenue_monthly(
     revenue, students = F.col("total_revenue"), F.col("unique_students")
     rows, minutes = F.col("row_count"), F.col("total_minutes_consumed")
     engaged_100 = F.col("students_1plus_hours") * 100
-    mean_revenue = half_up_ratio(cents(revenue), rows, 0)
-    return ranked.select(
+    sorted_rows = ranked.orderBy(
+        F.desc("month"), F.desc_nulls_first("total_revenue"), "course_name"
+    )
+    return sorted_rows.select(
         "month",
         "course_name",
         "course_type",
         F.col("course_instructor").alias("instructor"),
         "total_revenue",
-        _from_cents(mean_revenue).alias("avg_revenue_per_student"),
+        mean_of_amounts(revenue, rows).alias("avg_revenue_per_student"),
         "total_minutes_consumed",
         minutes_to_hours(minutes).alias("total_hours_consumed"),
         half_up_ratio(minutes, rows, 2).alias("avg_minutes_per_student"),
@@ -138,7 +144,7 @@ def view_course_revenue_monthly(
         "total_instructor_royalty",
         "revenue_rank",
         "popularity_rank",
-    ).orderBy(F.desc("month"), F.desc_nulls_first("total_revenue"), "course_name")
+    )
 
 
 def view_instructor_royalties_monthly(
@@ -241,7 +247,10 @@ def view_consumption_trends(consumption: DataFrame, courses: DataFrame) -> DataF
         customers={"unique_users": F.lit(True)},
     )
     mean = half_up_ratio(F.col("total_minutes"), F.col("unique_users"), 2)
-    return per_course.select(
+    sorted_rows = per_course.orderBy(
+        F.desc("month"), F.desc_nulls_first("total_minutes"), "course_name"
+    )
+    return sorted_rows.select(
         "month",
         "course_name",
         "course_type",
@@ -250,7 +259,7 @@ def view_consumption_trends(consumption: DataFrame, courses: DataFrame) -> DataF
         "unique_users",
         mean.alias("avg_minutes_per_user"),
         "total_hours",
-    ).orderBy(F.desc("month"), F.desc_nulls_first("total_minutes"), "course_name")
+    )
 
 
 def _per_course(
@@ -291,6 +300,3 @@ def _one_key_per_title(titles: DataFrame) -> bool:
     repeated = titles.groupBy(*TITLE).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return repeated.isEmpty()
 
-
-def _from_cents(whole: Column) -> Column:
-    return (whole * F.lit(CENT)).cast("decimal(24,2)")

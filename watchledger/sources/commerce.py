@@ -33,9 +33,14 @@ class Commerce:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._readers: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """The source table; its footer is read for the schema only once."""
+        if name not in self._readers:
+            path = f"{self.folder}/{name}.parquet"
+            self._readers[name] = self.spark.read.parquet(path)
+        return self._readers[name]
 
     def orders(self) -> DataFrame:
         orders, customer = self.table("orders"), self.table("customer")

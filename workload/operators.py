@@ -480,7 +480,7 @@ def agg_avg(c):
     grouped = c.fact_revenue_attribution.groupBy("course_key").agg(
         F.sum("attributed_revenue").alias("revenue"), F.count("*").alias("n")
     )
-    mean = L.ratio_of_cents(F.col("revenue"), F.col("n"), 2)
+    mean = L.mean_of_amounts(F.col("revenue"), F.col("n"))
     return grouped.select("course_key", mean.alias("avg_revenue"))
 
 
