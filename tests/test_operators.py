@@ -74,6 +74,19 @@ def test_sequence_of_hot_groups(skewed, scratch, limit):
     same(sequence_in_group(skewed, ["k"], order, hot, scratch), plain)
 
 
+def test_lookup_of_hot_groups(spark, skewed, scratch):
+    """Every row gets its group's value; the null group and misses get none."""
+    names = spark.range(300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
+    hot = hot_groups(skewed, ["k"], 500, scratch)
+    order = [F.asc("id")]
+    for found in (hot, None):
+        got = sequence_in_group(skewed, ["k"], order, found, scratch, lookup=names)
+        assert got.count() == ROWS
+        wrong = F.col("k").isNull() | (F.col("k") >= 300)
+        assert got.where(wrong & F.col("d").isNotNull()).isEmpty()
+        assert got.where(~wrong & (~F.col("d").eqNullSafe(F.col("k") * 2))).isEmpty()
+
+
 @pytest.mark.parametrize("limit", [500, 0])
 def test_total_of_hot_groups(skewed, scratch, limit):
     hot = hot_groups(skewed, ["k"], limit, scratch)

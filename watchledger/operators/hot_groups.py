@@ -79,31 +79,41 @@ def sequence_in_group(
     scratch: Scratch,
     sequence: str = "sequence",
     is_last: str = "is_last",
+    lookup: DataFrame | None = None,
 ) -> DataFrame:
     """Add the row's number in its group and whether it is the group's last.
 
     ``order`` must be total within a group. A hot group is range-partitioned
     and numbered as a whole; its own first and last number give the rest.
+
+    ``lookup`` is left-joined on the keys and must hold each key once. For
+    ordinary groups the join uses the partitioning of the window. For hot
+    groups the lookup is joined to the one row per group, not to the group.
     """
+
+    def look_up(rows: DataFrame) -> DataFrame:
+        return rows if lookup is None else rows.join(lookup, list(keys), "left")
+
     window = Window.partitionBy(*keys).orderBy(*order)
     added = [
         F.row_number().over(window).cast("long").alias(sequence),
         F.lead(F.lit(1)).over(window).isNull().alias(is_last),
     ]
     if hot is None:
-        return df.select("*", *added)
+        return look_up(df.select("*", *added))
     cold_rows, hot_rows = split_hot(df, keys, hot)
+    placed_cold = look_up(cold_rows.select("*", *added))
     numbered = number_rows(hot_rows, [*keys, *order], scratch, "__n")
     ends = numbered.groupBy(*keys).agg(
         F.min("__n").alias("__first"), F.max("__n").alias("__last")
     )
-    with_ends = attach(numbered, scratch.stage(ends, "hot-ends"), keys)
-    placed = with_ends.select(
-        *df.columns,
+    with_ends = attach(numbered, scratch.stage(look_up(ends), "hot-ends"), keys)
+    placed_hot = with_ends.select(
+        "*",
         (F.col("__n") - F.col("__first") + 1).alias(sequence),
         (F.col("__n") == F.col("__last")).alias(is_last),
     )
-    return cold_rows.select("*", *added).unionByName(placed)
+    return placed_cold.unionByName(placed_hot.select(*placed_cold.columns))
 
 
 def rank_in_group(

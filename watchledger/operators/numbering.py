@@ -18,6 +18,10 @@ def number_rows(
 ) -> DataFrame:
     """Add ``name`` = 1..n in the given order, which must identify a row.
 
+    Columns given by name are sorted ascending with null last. Equal rows
+    cannot be told apart by a range, so ``order`` should go on beyond the key
+    where a key may repeat.
+
     The rows are range-partitioned and sorted, then staged with their place
     inside the partition. A small table of partition sizes gives each
     partition's offset. Staging matters: a second evaluation could draw other
@@ -35,6 +39,7 @@ def stage_in_order(
     df: DataFrame, order: Sequence[str | Column], scratch: Scratch, name: str
 ) -> DataFrame:
     """Sorted range partitions, staged with partition number and row index."""
+    order = [F.asc_nulls_last(o) if isinstance(o, str) else o for o in order]
     ordered = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)

@@ -44,11 +44,18 @@ def fact_order(
     hot = hot_groups(orders, key, settings.hot_rows, scratch)
     order = [F.asc_nulls_last("order_created_at"), F.asc_nulls_last("order_id")]
     placed = sequence_in_group(
-        orders, key, order, hot, scratch, "order_sequence", "is_latest_order"
+        orders,
+        key,
+        order,
+        hot,
+        scratch,
+        sequence="order_sequence",
+        is_last="is_latest_order",
+        lookup=customers.where("is_current").select("customer_key", "customer_id"),
     )
-    current = customers.where("is_current").select("customer_key", "customer_id")
-    joined = placed.join(current, key, "left")
-    keyed = number_rows(joined, ["order_id"], scratch, "order_key")
+    # The id is the key; the rest only splits and settles repeated or null ids.
+    total_order = ["order_id", "order_created_at", "customer_id", "order_number"]
+    keyed = number_rows(placed, total_order, scratch, "order_key")
 
     text = F.col("line_items")
     plan = first_match(text, TYPE_WORDS)
