@@ -7,9 +7,11 @@ history is part of the build because the customer dimension reads it.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,23 +95,32 @@ def build_warehouse(
         orders = staging.stg_orders(raw.orders)
         courses = staging.stg_courses(raw.courses)
         consumption = staging.stg_consumption(raw.consumption, raw.month)
-        snapshot = store(
-            "snap_customer",
-            dimensions.snap_customer(customers, history, load_time),
-            audit=False,
-        )
-        dim_course = store("dim_course", dimensions.dim_course(courses, scratch))
-        dim_customer = store(
-            "dim_customer", dimensions.dim_customer(snapshot, scratch)
-        )
-        fact_order = store(
-            "fact_order", facts.fact_order(orders, dim_customer, settings, scratch)
+
+        def customer_dimension() -> DataFrame:
+            versions = dimensions.snap_customer(customers, history, load_time)
+            snapshot = store("snap_customer", versions, audit=False)
+            dim = dimensions.dim_customer(snapshot, scratch)
+            return store("dim_customer", dim)
+
+        def course_dimension() -> DataFrame:
+            return store("dim_course", dimensions.dim_course(courses, scratch))
+
+        dim_customer, dim_course = _side_by_side(
+            spark, customer_dimension, course_dimension
         )
-        fact_consumption = store(
-            "fact_consumption",
-            facts.fact_consumption(
+
+        def orders_fact() -> DataFrame:
+            fact = facts.fact_order(orders, dim_customer, settings, scratch)
+            return store("fact_order", fact)
+
+        def consumption_fact() -> DataFrame:
+            fact = facts.fact_consumption(
                 consumption, dim_customer, dim_course, settings, scratch
-            ),
+            )
+            return store("fact_consumption", fact)
+
+        fact_order, fact_consumption = _side_by_side(
+            spark, orders_fact, consumption_fact
         )
         attribution = store(
             "fact_revenue_attribution",
@@ -139,6 +150,15 @@ def build_warehouse(
     return built
 
 
+def _side_by_side(
+    spark: SparkSession, *jobs: Callable[[], DataFrame]
+) -> list[DataFrame]:
+    """Submit independent tables together, so that none waits for idle executors."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [job.result() for job in started]
+
+
 def analytics_views(
     attribution: DataFrame,
     orders: DataFrame,
