@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # AQE picks the number of reducers, splits skewed join partitions and switches
-# to broadcast joins by the sizes seen at run time.
+# to broadcast joins by the sizes seen at run time. Recording the call site of
+# every column expression costs more driver time than planning does.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -13,6 +14,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
