@@ -57,13 +57,15 @@ class Built:
 
 
 def read_seeds(
-    spark: SparkSession, folder: str, settings: Settings, names: Mapping[str, str] = {}
+    spark: SparkSession,
+    folder: str,
+    settings: Settings = Settings(),
+    names: Mapping[str, str] | None = None,
 ) -> Raw:
     """The four CSV files of a folder; ``names`` maps tables to other file names."""
+    files = {table: table for table in SEED_COLUMNS} | dict(names or {})
     frames = {
-        table: read_csv_seed(
-            spark, f"{folder}/{names.get(table, table)}.csv", list(columns)
-        )
+        table: read_csv_seed(spark, f"{folder}/{files[table]}.csv", columns)
         for table, columns in SEED_COLUMNS.items()
     }
     return Raw(**frames, month=settings.consumption_month)
