@@ -53,7 +53,7 @@ class Built:
             )
             for name, df in {**self.tables, **self.views}.items()
         ]
-        return quality._union(counted)
+        return quality.union_all(counted)
 
 
 def read_seeds(

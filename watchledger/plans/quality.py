@@ -7,18 +7,24 @@ a number, a verdict and a text; ``summary`` adds those up.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchledger.operators import checks
+from watchledger.settings import Settings
 
-# Tolerances and the list of column tests.
+# Tolerances, texts of the results, and the list of column tests.
 SHARE_TOLERANCE = "0.01"
 TIE_OUT_TOLERANCE = "0.05"
 ROYALTY_TOLERANCE = "0.01"
-ROYALTY_RATE = "0.20"
+
+NULLS_TEXT = "null values found"
+DUPLICATES_TEXT = "duplicate values found"
+SHARES_TEXT = "customer-months with incorrect attribution sum"
+TIE_OUT_TEXT = "customer-months with revenue mismatch"
 
 UNIQUE_COLUMNS = (
     ("stg_customers", "customer_id"),
@@ -84,7 +90,7 @@ def all_unique(tables: Tables, columns=UNIQUE_COLUMNS) -> DataFrame:
         )
         for model, column in columns
     ]
-    return _union(found)
+    return union_all(found)
 
 
 def all_null_counts(tables: Tables, columns=NOT_NULL_COLUMNS) -> DataFrame:
@@ -95,7 +101,7 @@ def all_null_counts(tables: Tables, columns=NOT_NULL_COLUMNS) -> DataFrame:
         )
         for model, names in columns.items()
     ]
-    return _union(found)
+    return union_all(found)
 
 
 def all_accepted(tables: Tables, columns=ACCEPTED_VALUES) -> DataFrame:
@@ -108,7 +114,7 @@ def all_accepted(tables: Tables, columns=ACCEPTED_VALUES) -> DataFrame:
         )
         for model, column, values in columns
     ]
-    return _union(found)
+    return union_all(found)
 
 
 def all_orphans(tables: Tables, columns=RELATIONSHIPS) -> DataFrame:
@@ -122,7 +128,7 @@ def all_orphans(tables: Tables, columns=RELATIONSHIPS) -> DataFrame:
         )
         for child, key, parent in columns
     ]
-    return _union(found)
+    return union_all(found)
 
 
 # -- revenue checks --------------------------------------------------------
@@ -172,10 +178,11 @@ def negative_revenue(attribution: DataFrame) -> DataFrame:
     return bad.select("revenue_key", "attributed_revenue")
 
 
-def royalty_rate(attribution: DataFrame) -> DataFrame:
+def royalty_rate(
+    attribution: DataFrame, rate: Decimal = Settings.royalty_rate
+) -> DataFrame:
     """Rows whose royalty is not the agreed part of the rounded revenue."""
-    rate = F.lit(ROYALTY_RATE).cast("decimal(3,2)")
-    expected = F.round(F.col("attributed_revenue") * rate, 2)
+    expected = F.round(F.col("attributed_revenue") * F.lit(rate), 2)
     rows = attribution.select(
         "revenue_key",
         "attributed_revenue",
@@ -191,14 +198,14 @@ def royalty_rate(attribution: DataFrame) -> DataFrame:
 
 def count_nulls(name: str, df: DataFrame, column: str) -> DataFrame:
     counted = df.agg(F.count_if(F.col(column).isNull()).alias("n"))
-    return _verdict(counted, name, f"not_null_{column}", "null values found")
+    return _verdict(counted, name, f"not_null_{column}", NULLS_TEXT)
 
 
 def count_duplicates(name: str, df: DataFrame, column: str) -> DataFrame:
     """Number of values that occur more than once; here null is a value."""
     sizes = df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
     counted = sizes.agg(F.count_if(F.col("rows") > 1).alias("n"))
-    return _verdict(counted, name, f"unique_{column}", "duplicate values found")
+    return _verdict(counted, name, f"unique_{column}", DUPLICATES_TEXT)
 
 
 def count_bad_attribution(attribution: DataFrame) -> DataFrame:
@@ -206,7 +213,7 @@ def count_bad_attribution(attribution: DataFrame) -> DataFrame:
         attribution_sums(attribution).agg(F.count(F.lit(1)).alias("n")),
         "fact_revenue_attribution",
         "attribution_sums_to_one",
-        "customer-months with incorrect attribution sum",
+        SHARES_TEXT,
     )
 
 
@@ -215,14 +222,14 @@ def count_bad_tieout(attribution: DataFrame) -> DataFrame:
         revenue_ties_out(attribution).agg(F.count(F.lit(1)).alias("n")),
         "fact_revenue_attribution",
         "revenue_ties_out",
-        "customer-months with revenue mismatch",
+        TIE_OUT_TEXT,
     )
 
 
 def revenue_checks(attribution: DataFrame) -> DataFrame:
     """The four standing checks on the attribution fact."""
     name = "fact_revenue_attribution"
-    return _union(
+    return union_all(
         [
             count_nulls(name, attribution, "attributed_revenue"),
             count_duplicates(name, attribution, "revenue_key"),
@@ -257,5 +264,5 @@ def _verdict(counted: DataFrame, table: str, check: str, text: str) -> DataFrame
     )
 
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)

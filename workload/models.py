@@ -406,13 +406,13 @@ _BAD_SHARE = _verdict_sql(
     f"from attribution_sums where {_OFF_SHARE}",
     _FACT,
     "attribution_sums_to_one",
-    "customer-months with incorrect attribution sum",
+    quality.SHARES_TEXT,
 )
 _BAD_TIE = _verdict_sql(
     f"from attribution_sums where {_OFF_TIE}",
     _FACT,
     "revenue_ties_out",
-    "customer-months with revenue mismatch",
+    quality.TIE_OUT_TEXT,
 )
 
 
@@ -421,7 +421,7 @@ def _nulls_sql(table: str, column: str) -> str:
         f"from {table} where {column} is null",
         table,
         f"not_null_{column}",
-        "null values found",
+        quality.NULLS_TEXT,
     )
 
 
@@ -430,7 +430,7 @@ def _dups_sql(table: str, column: str) -> str:
         f"from (select {column} from {table} group by 1 having count(*) > 1)",
         table,
         f"unique_{column}",
-        "duplicate values found",
+        quality.DUPLICATES_TEXT,
     )
 
 
