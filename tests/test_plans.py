@@ -6,8 +6,10 @@ tables. Every plan that writes an intermediate table is looked at as well.
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import watchledger.scratch
-from watchledger.plans import views
+from watchledger.plans import facts, views
 from watchledger.settings import Settings
 from workload.context import Context
 
@@ -119,3 +121,42 @@ def test_scans_are_pruned_and_filtered(plans):
 def test_sums_are_combined_before_the_shuffle(plans):
     for name in ("ordered-consumption_key", "course-months", "trends", "mrr"):
         assert lines(plans[name], "HashAggregate", "partial_sum"), name
+
+
+def test_join_of_a_hot_user_is_split(spark):
+    """One user holds a third of the rows, still after they are summed."""
+    n = F.col("id")
+    user = F.when(n % 3 == 0, 7).otherwise(n % 5000)
+    watched = spark.range(300_000).select(
+        user.cast("long").alias("user_id"),
+        F.concat(F.lit("course "), (n % 100_000).cast("string")).alias("course_name"),
+        F.lit("2022-10-01").cast("date").alias("consumption_month"),
+        F.lit(5).alias("minutes_consumed"),
+    )
+    customers = spark.range(5000).select(
+        (n + 1).alias("customer_key"), n.alias("customer_id"), F.lit(True).alias("is_current")
+    )
+    courses = spark.range(100_000).select(
+        (n + 1).alias("course_key"),
+        F.concat(F.lit("course "), n.cast("string")).alias("course_name"),
+        F.lit(True).alias("is_revenue_generating"),
+    )
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        df = facts.minutes_by_keys(watched, customers, courses)
+        plan = df._jdf.queryExecution().executedPlan()
+        rows = plan.execute().count()
+    finally:
+        for name in changed:
+            spark.conf.unset(name)
+    final = plan.toString().split("Initial Plan")[0]
+    assert "SortMergeJoin(skew=true) [user_id" in final
+    assert rows == watched.select("user_id", "course_name").distinct().count()

@@ -81,18 +81,15 @@ def fact_order(
     )
 
 
-def fact_consumption(
-    consumption: DataFrame,
-    customers: DataFrame,
-    courses: DataFrame,
-    settings: Settings,
-    scratch: Scratch,
+def minutes_by_keys(
+    consumption: DataFrame, customers: DataFrame, courses: DataFrame
 ) -> DataFrame:
-    """Minutes per customer, course and month, with the share of the month.
+    """Minutes per customer, course and month, without rows that match neither.
 
     Watch rows are summed by their natural keys before they meet the
     dimensions: this shrinks them ahead of the joins and breaks up hot users
-    and hot courses. Rows without a customer or a course drop out.
+    and hot courses. What is left of the skew is in the joins alone, where
+    adaptive execution splits large partitions.
     """
     minutes = consumption.groupBy("user_id", "course_name", "consumption_month").agg(
         F.sum("minutes_consumed").alias("total_minutes_consumed")
@@ -102,7 +99,18 @@ def fact_consumption(
     )
     titles = courses.select("course_key", "course_name", "is_revenue_generating")
     matched = minutes.join(current, "user_id").join(titles, "course_name")
-    matched = matched.drop("user_id", "course_name")
+    return matched.drop("user_id", "course_name")
+
+
+def fact_consumption(
+    consumption: DataFrame,
+    customers: DataFrame,
+    courses: DataFrame,
+    settings: Settings,
+    scratch: Scratch,
+) -> DataFrame:
+    """Minutes per customer, course and month, with the share of the month."""
+    matched = minutes_by_keys(consumption, customers, courses)
     grain = ["customer_key", "course_key", "consumption_month"]
     keyed = number_rows(matched, grain, scratch, "consumption_key")
 
