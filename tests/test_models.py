@@ -280,7 +280,16 @@ def attribution_rows(spark, rows):
     """(customer, course, month, value, minutes, revenue) as an attribution fact."""
     return spark.createDataFrame(
         [
-            (n, c, k, dt.date(2022, m, 1), D(value), minutes, D(rev), D(rev) / 5)
+            (
+                n,
+                c,
+                k,
+                dt.date(2022, m, 1),
+                D(value),
+                minutes,
+                rev and D(rev),
+                rev and D(rev) / 5,
+            )
             for n, (c, k, m, value, minutes, rev) in enumerate(rows)
         ],
         "revenue_key long, customer_key long, course_key long, revenue_month date,"
@@ -351,6 +360,29 @@ def test_course_revenue_ranks_and_engagement(spark, scratch, hot_rows):
     ]
 
 
+def test_means_leave_out_null_revenue(spark, scratch):
+    """A month without minutes has no share, hence no revenue to average."""
+    rows = attribution_rows(
+        spark,
+        [
+            (1, 1, 10, "9.00", 90, "5.00"),
+            (2, 1, 10, "9.00", 0, None),
+            (2, 2, 10, "9.00", 0, None),
+        ],
+    )
+    courses = spark.createDataFrame(
+        [(1, "A", "PAID", "x"), (2, "B", "PAID", "x")], COURSES
+    )
+    view = views.view_course_revenue_monthly(rows, courses, SETTINGS, scratch)
+    names = ["course_name", "total_revenue", "avg_revenue_per_student"]
+    names += ["avg_minutes_per_student", "unique_students", "revenue_rank"]
+    # Null sorts first descending, so the course without revenue ranks first.
+    assert [tuple(r) for r in view.select(*names).collect()] == [
+        ("B", None, None, D("0.00"), 1, 1),
+        ("A", D("5.00"), D("5.00"), D("45.00"), 2, 2),
+    ]
+
+
 def test_customers_are_counted_once_when_course_names_repeat(spark, scratch):
     """Two keys for one title: the same customer watched both."""
     rows = attribution_rows(

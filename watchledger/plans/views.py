@@ -106,10 +106,13 @@ def view_course_revenue_monthly(
         attribution,
         courses.where(F.col("course_type") == "PAID"),
         "revenue_month",
-        sums={
-            "total_revenue": F.col("attributed_revenue"),
-            "total_minutes_consumed": F.col("course_minutes_consumed"),
-            "total_instructor_royalty": F.col("instructor_royalty"),
+        totals={
+            "total_revenue": F.sum("attributed_revenue"),
+            "total_minutes_consumed": F.sum("course_minutes_consumed"),
+            "total_instructor_royalty": F.sum("instructor_royalty"),
+            # A mean leaves null out: months without minutes have no revenue.
+            "revenue_rows": F.count("attributed_revenue"),
+            "minutes_rows": F.count("course_minutes_consumed"),
         },
         customers={"unique_students": F.lit(True), "students_1plus_hours": engaged},
     )
@@ -123,7 +126,7 @@ def view_course_revenue_monthly(
         ranked = rank_in_group(ranked, ["month"], metric, name, hot, scratch)
 
     revenue, students = F.col("total_revenue"), F.col("unique_students")
-    rows, minutes = F.col("row_count"), F.col("total_minutes_consumed")
+    minutes = F.col("total_minutes_consumed")
     engaged_100 = F.col("students_1plus_hours") * 100
     sorted_rows = ranked.orderBy(
         F.desc("month"), F.desc_nulls_first("total_revenue"), "course_name"
@@ -134,10 +137,14 @@ def view_course_revenue_monthly(
         "course_type",
         F.col("course_instructor").alias("instructor"),
         "total_revenue",
-        mean_of_amounts(revenue, rows).alias("avg_revenue_per_student"),
+        mean_of_amounts(revenue, F.col("revenue_rows")).alias(
+            "avg_revenue_per_student"
+        ),
         "total_minutes_consumed",
         minutes_to_hours(minutes).alias("total_hours_consumed"),
-        half_up_ratio(minutes, rows, 2).alias("avg_minutes_per_student"),
+        half_up_ratio(minutes, F.col("minutes_rows"), 2).alias(
+            "avg_minutes_per_student"
+        ),
         "unique_students",
         "students_1plus_hours",
         half_up_ratio(engaged_100, students, 2).alias("engagement_rate_pct"),
@@ -240,9 +247,9 @@ def view_consumption_trends(consumption: DataFrame, courses: DataFrame) -> DataF
         consumption,
         courses,
         "consumption_month",
-        sums={
-            "total_minutes": F.col("total_minutes_consumed"),
-            "total_hours": F.col("total_hours_consumed"),
+        totals={
+            "total_minutes": F.sum("total_minutes_consumed"),
+            "total_hours": F.sum("total_hours_consumed"),
         },
         customers={"unique_users": F.lit(True)},
     )
@@ -266,27 +273,25 @@ def _per_course(
     fact: DataFrame,
     courses: DataFrame,
     month: str,
-    sums: dict[str, Column],
+    totals: dict[str, Column],
     customers: dict[str, Column],
 ) -> DataFrame:
-    """Sums and numbers of customers (that meet a condition) per course and month."""
+    """Additive totals, and customers that meet a condition, per course and month."""
     titles = courses.select("course_key", *TITLE)
     group = ["month", *TITLE]
-    added = {name: F.sum(value) for name, value in sums.items()}
-    rows = {"row_count": F.count(F.lit(1))}
     dated = fact.withColumnRenamed(month, "month")
     if _one_key_per_title(titles):
         counted = {name: F.count_if(met) for name, met in customers.items()}
-        per_key = _aggregate(dated, ["month", "course_key"], added | counted | rows)
+        per_key = _aggregate(dated, ["month", "course_key"], totals | counted)
         joined = per_key.join(titles, "course_key")
-        return joined.select(*group, *added, *counted, *rows)
-    flags = {name: F.max(met.cast("int")) for name, met in customers.items()}
-    per_customer = _aggregate(
-        dated.join(titles, "course_key"),
-        [*group, "customer_key"],
-        added | flags | rows,
-    )
-    again = {name: F.sum(name) for name in [*added, *flags, *rows]}
+        return joined.select(*group, *totals, *counted)
+    flags = {
+        name: F.max(F.coalesce(met, F.lit(False)).cast("int"))
+        for name, met in customers.items()
+    }
+    named = dated.join(titles, "course_key")
+    per_customer = _aggregate(named, [*group, "customer_key"], totals | flags)
+    again = {name: F.sum(name) for name in [*totals, *flags]}
     return _aggregate(per_customer, group, again)
 
 

@@ -472,13 +472,14 @@ def agg_sum_if(c):
     sql(
         "select course_key, cast("
         + ratio(cents("revenue"), "n*100", 2)
-        + " as double) as avg_revenue from (select course_key, count(*) as n,"
+        + " as double) as avg_revenue from (select course_key, count(attributed_revenue) as n,"
         f" sum(attributed_revenue) as revenue from {_FACT} group by 1)"
     ),
 )
 def agg_avg(c):
     grouped = c.fact_revenue_attribution.groupBy("course_key").agg(
-        F.sum("attributed_revenue").alias("revenue"), F.count("*").alias("n")
+        F.sum("attributed_revenue").alias("revenue"),
+        F.count("attributed_revenue").alias("n"),
     )
     mean = L.mean_of_amounts(F.col("revenue"), F.col("n"))
     return grouped.select("course_key", mean.alias("avg_revenue"))

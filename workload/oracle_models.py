@@ -271,7 +271,8 @@ MODELS = {
       with g as (
         select revenue_month as month, course_name, course_type, course_instructor,
                sum(attributed_revenue) as revenue,
-               sum(course_minutes_consumed) as minutes, count(*) as n,
+               sum(course_minutes_consumed) as minutes,
+               count(attributed_revenue) as n, count(course_minutes_consumed) as nm,
                count(distinct customer_key) as students,
                count(distinct customer_key) filter (where course_minutes_consumed >= 60)
                  as engaged,
@@ -283,11 +284,12 @@ MODELS = {
              {ratio(cents('revenue'), 'n*100', 2)} as avg_revenue_per_student,
              minutes as total_minutes_consumed,
              {ratio('minutes', '60', 2)} as total_hours_consumed,
-             {ratio('minutes', 'n', 2)} as avg_minutes_per_student,
+             {ratio('minutes', 'nm', 2)} as avg_minutes_per_student,
              students as unique_students, engaged as students_1plus_hours,
              {ratio('engaged*100', 'students', 2)} as engagement_rate_pct,
              royalty as total_instructor_royalty,
-             rank() over (partition by month order by revenue desc) as revenue_rank,
+             rank() over (partition by month order by revenue desc nulls first)
+               as revenue_rank,
              rank() over (partition by month order by students desc) as popularity_rank
       from g""",
     "view_instructor_royalties_monthly": """
