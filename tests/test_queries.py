@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from workload.registry import ORACLE, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem".split()
@@ -32,17 +33,19 @@ def ordered(rows, names):
     return sorted(picked, key=repr)
 
 
-@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLE))
 def test_query_matches_its_sql(spark, duck, key):
-    df = entry.queries()[key](spark, FOLDER)
-    found = duck.execute(entry.oracle_sql()[key])
+    df = QUERIES[key](spark, FOLDER)
+    found = duck.execute(ORACLE[key])
     names = [column[0] for column in found.description]
     assert sorted(df.columns) == sorted(names)
     assert ordered(df.collect(), df.columns) == ordered(found.fetchall(), names)
 
 
 def test_only_the_clock_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"now_audit"}
+    assert set(QUERIES) - set(ORACLE) == {"now_audit"}
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
