@@ -181,6 +181,11 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
+def _near(a: np.ndarray, b: np.ndarray, max_distance: int) -> np.ndarray:
+    # Unsigned: of a negative number the bits of its absolute value would count.
+    return np.bitwise_count((a ^ b).view(np.uint64)) <= max_distance
+
+
 def spanning(prints: np.ndarray, max_distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that join what belongs together, each row compared once."""
     left = np.unique(prints)
@@ -190,7 +195,7 @@ def spanning(prints: np.ndarray, max_distance: int) -> tuple[np.ndarray, np.ndar
         front, left = [left[0]], left[1:]
         while front and len(left):
             one = front.pop()
-            near = np.bitwise_count(left ^ one) <= max_distance
+            near = _near(left, one, max_distance)
             if near.any():
                 found = left[near]
                 left = left[~near]
@@ -219,7 +224,7 @@ def _linked_runs(
         same = np.flatnonzero(k[step:] == k[:-step])
         if not len(same):
             break
-        near = np.bitwise_count(p[same + step] ^ p[same]) <= max_distance
+        near = _near(p[same + step], p[same], max_distance)
         a.append(p[same[near]])
         b.append(p[same[near] + step])
         step += 1
