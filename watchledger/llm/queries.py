@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchledger.llm import decontamination, mixing, secret_scan, simhash, warc
-from watchledger.llm.common import table
+from watchledger.llm import decontamination, mixing, quality, secret_scan, simhash, warc
+from watchledger.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -104,6 +104,19 @@ def op5_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated_documents(docs, table(spark, folder, "benchmark"))
 
 
+# -- 6 -----------------------------------------------------------------------
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    scored = quality.score_documents(docs, model)
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 # -- 7 -----------------------------------------------------------------------
 
 
