@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchledger.llm import decontamination, mixing, quality, secret_scan, simhash, warc
+from watchledger.llm import (
+    chat,
+    decontamination,
+    mixing,
+    quality,
+    secret_scan,
+    simhash,
+    token_counts,
+    topk,
+    toxicity,
+    warc,
+)
 from watchledger.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +85,100 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# -- 2 -----------------------------------------------------------------------
+
+TOKENIZER = "word_bpe_49k.json"
+TOKEN_LIMIT = 2048
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents")
+    counted = token_counts.token_counts(docs, public_tokenizers.path(TOKENIZER))
+    return counted.select("*", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+# -- 3 -----------------------------------------------------------------------
+
+_CHAT_SQL = r"""
+with ordered as (
+  select conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+    order by turn, coalesce(role, ''), coalesce(text, '')) as turns
+  from conversations where conv_id is not null group by conv_id),
+answered as (
+  select conv_id, turns, list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant') as answers
+  from ordered),
+paired as (
+  select conv_id, turns as chosen, list_transform(range(1, len(turns) + 1), lambda i: {
+      'role': turns[i].role,
+      'text': case when i = answers[-1]
+        then coalesce(case when len(answers) > 1 then turns[answers[-2]].text end, '')
+        else turns[i].text end}) as rejected
+  from answered),
+shared as (
+  select *, coalesce(list_min(list_filter(range(1, len(chosen) + 1),
+    lambda i: chosen[i] is distinct from rejected[i])) - 1, len(chosen))::int as n
+  from paired),
+cut as (
+  select conv_id, n, chosen[1:n] as p, chosen[n + 1:] as c, rejected[n + 1:] as r from shared),
+texts as (
+  select conv_id, n, len(c) + len(r) = 0 as is_tie,
+    list_transform([p, c, r], lambda ts: list_transform(ts, lambda t: '<|' || replace(t.role, '<|', '< |') || '|>' || chr(10))) as heads,
+    list_transform([p, c, r], lambda ts: list_transform(ts, lambda t: replace(t.text, '<|', '< |') || '<|end|>')) as bodies,
+    list_transform([p, c, r], lambda ts: list_transform(ts, lambda t: t.role = 'assistant')) as trained
+  from cut),
+placed as (
+  select *,
+    list_transform(range(1, 4), lambda k: array_to_string(list_transform(range(1, len(heads[k]) + 1),
+      lambda i: heads[k][i] || bodies[k][i] || chr(10)), '')) as rendered,
+    list_transform(range(1, 4), lambda k: array_to_string(list_transform(
+      list_filter(range(1, len(heads[k]) + 1), lambda i: trained[k][i]),
+      lambda i: (list_sum(list_transform(range(1, i + 1), lambda j: length(heads[k][j])))
+          + coalesce(list_sum(list_transform(range(1, i), lambda j: length(bodies[k][j]) + 1)), 0))::bigint
+        || ':' || (list_sum(list_transform(range(1, i + 1), lambda j: length(heads[k][j]) + length(bodies[k][j]))) + i - 1)::bigint),
+      ',')) as masks
+  from texts)
+select conv_id, n::bigint as prompt_turns, rendered[1] as prompt, rendered[2] as chosen, masks[2] as chosen_mask,
+  rendered[3] as rejected, masks[3] as rejected_mask, is_tie
+from placed
+"""
+
+
+@query("op3_chat_preferences", _CHAT_SQL)
+def op3_chat_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    whole = chat.conversations(table(spark, folder, "conversations"))
+    formatted = chat.format_preferences(chat.stale_answers(whole))
+    return formatted.select(
+        "conv_id",
+        F.col("prompt_turns").cast("long").alias("prompt_turns"),
+        "prompt",
+        "chosen",
+        chat.listed(F.col("chosen_mask")).alias("chosen_mask"),
+        "rejected",
+        chat.listed(F.col("rejected_mask")).alias("rejected_mask"),
+        "is_tie",
+    )
+
+
+# -- 4 -----------------------------------------------------------------------
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    categories = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    chain = toxicity.train(docs, table(spark, folder, "labels"), categories)
+    return toxicity.score_documents(docs, chain).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("poor").alias("poor_score"),
+        F.col("toxic").alias("score"),
+        (F.col("toxic") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 # -- 5 -----------------------------------------------------------------------
 
 _LEAKS_SQL = r"""
@@ -210,6 +315,37 @@ def op8_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+# -- 9 -----------------------------------------------------------------------
+
+_TOPK_SQL = """
+with usable as (
+  select vec_id, min(list_transform(embedding, lambda x: floor(64 * x::double))) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+  group by vec_id),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from usable q join usable c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id),
+ranked as (
+  select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank, vec_id, score
+  from scored)
+select query_id, rank::int as rank, vec_id, score from ranked where rank <= 20
+"""
+
+
+@query("op9_exact_top_k", _TOPK_SQL)
+def op9_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.finite_vectors(
+        table(spark, folder, "embeddings"),
+        "vec_id",
+        "embedding",
+        lambda x: F.floor(64 * x.cast("double")).cast("double"),
+    )
+    found = topk.top_k(vectors, F.col("id") % 20 == 0, 20)
+    return found.withColumn("score", F.col("score").cast("long"))
+
+
 # -- 10 ----------------------------------------------------------------------
 
 _WARC_SQL = """
