@@ -1,0 +1,42 @@
+"""Every registered corpus query against its SQL, on the smallest tables."""
+
+import math
+
+import pytest
+
+from watchledger.llm import queries
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def plain(value):
+    if isinstance(value, float):
+        return None if math.isnan(value) else round(value, 9)
+    return value
+
+
+def ordered(rows, names):
+    picked = [tuple(plain(row[names.index(n)]) for n in sorted(names)) for row in rows]
+    return sorted(picked, key=repr)
+
+
+@pytest.mark.parametrize("key", sorted(queries.ORACLE))
+def test_query_matches_its_sql(spark, duck, key):
+    df = queries.QUERIES[key](spark, FOLDER)
+    found = duck.execute(queries.ORACLE[key])
+    names = [column[0] for column in found.description]
+    assert sorted(df.columns) == sorted(names)
+    assert ordered(df.collect(), df.columns) == ordered(found.fetchall(), names)
+
+
+def test_all_ten_are_registered():
+    numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
+    assert numbers == list(range(1, 11))
+    without = {k for k in queries.QUERIES if k not in queries.ORACLE}
+    assert {k[:3] for k in without} == {"op2", "op4", "op6", "op8"}
+
+
+@pytest.mark.parametrize("key", ["op1_mix_sources", "op5_benchmark_leaks", "op7_secret_scan"])
+def test_plan_runs_no_python(spark, plan_of, key):
+    plan = plan_of(queries.QUERIES[key](spark, FOLDER))
+    assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan

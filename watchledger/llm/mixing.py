@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from watchledger.llm.common import scratch_for, unit_draw, word_count
+from watchledger.llm.common import free_name, scratch_for, unit_draw, word_count
 from watchledger.scratch import Scratch
 
 WEIGHTS = (5, 2, 1)
@@ -78,10 +78,11 @@ def mix_plan(
 ) -> DataFrame:
     """Each document with its size, its source's size and target, and copies."""
     scratch = scratch_for(docs.sparkSession, scratch)
+    place = free_name(docs.columns, "source_of_target")
     sized = source_sizes(docs, word_count(F.col("text")))
     plan = scratch.stage(
         targets(cycle_weights(sized, weights), share, cap).select(
-            F.col("source").alias("__source"),
+            F.col("source").alias(place),
             F.col("source_size").alias(f"{prefix}source_size"),
             F.col("target").alias(f"{prefix}target"),
         ),
@@ -89,7 +90,7 @@ def mix_plan(
     )
     names = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(*names, word_count(F.col("text")).alias(f"{prefix}size"))
-    joined = rows.join(plan, rows["source"].eqNullSafe(plan["__source"]), "left")
+    joined = rows.join(plan, F.col("source").eqNullSafe(F.col(place)), "left")
     size, target = F.col(f"{prefix}source_size"), F.col(f"{prefix}target")
     rate = F.when(size > 0, target / size).otherwise(0.0)
     by_text = F.concat(F.lit("text:"), F.md5(F.coalesce("text", F.lit("")).cast("binary")))

@@ -230,14 +230,17 @@ def redact_documents(docs: DataFrame, text: str = "text", **options) -> DataFram
     """
     scanned = scan_documents(docs, text, **options)
     spans = F.col(f"`{scanned.columns[-1]}`")
-    changed = F.size(spans) > 0
-    clean = redacted(F.col(text), spans)
+    made = free_name(scanned.columns, "clean")
+    # Under a name of its own: within lambdas, a new column that is called like
+    # the text would be taken for the text.
+    clean = scanned.select("*", redacted(F.col(text), spans).alias(made))
     columns = []
     for field in docs.schema.fields:
         column = F.col(f"`{field.name}`")
         if field.name == text:
-            column = clean
+            column = F.col(made)
         elif field.name == "n_chars":
-            column = F.when(changed, F.length(clean).cast(field.dataType)).otherwise(column)
+            counted = F.length(F.col(made)).cast(field.dataType)
+            column = F.when(F.size(spans) > 0, counted).otherwise(column)
         columns.append(column.alias(field.name))
-    return scanned.select(*columns)
+    return clean.select(*columns)

@@ -1,11 +1,15 @@
 """Toxicity by a classifier chain over word indicators.
 
+A text's features are its words, the beginnings of its longer words, and
+whether two, three or four of its words share a beginning, so that inflected
+and compound words count too.
+
 The categories are predicted one after the other by linear logistic models. A
 later model also gets the probabilities of the earlier ones. While it is being
 fit, those come from models that have not seen the row (out of fold), so that it
 does not learn to trust probabilities that are better than they will be.
 
-Words are chosen by their chi-square statistic with any category, counted over
+Features are chosen by their chi-square statistic with any category, counted over
 all labelled training rows. The models are fit on at most ``FIT_ROWS`` of those
 rows, the ones with the smallest hashes of their ids, in one task. Vocabulary
 and models have fixed sizes, so they are sent to all tasks whole.
@@ -20,6 +24,7 @@ training rows every probability is 0. Rows that repeat score alike.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -28,18 +33,31 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from watchledger.llm.common import free_name, held_out, scratch_for, ship_package
+from watchledger.llm.common import free_name, held_out, scratch_for, sent_if_small, ship_package
 from watchledger.scratch import Scratch
 
-VOCABULARY = 20_000
-LEAST_TEXTS = 3
+VOCABULARY = 1000
+LEAST_TEXTS = 5
 FIT_ROWS = 16_000
 FOLDS = 3
-PENALTY = 0.3
-THRESHOLD = 0.5
+PENALTY = 1.0
+THRESHOLD = 0.3
+PREFIXES = (4, 6)
 _WORD = re.compile(r"[^\W_]+")
 
 
+def features(text: object) -> set[str]:
+    """Words, beginnings as ``abcd*``, and shared ones as ``abcd*2`` to ``*4``."""
+    words = set(_WORD.findall(text.lower())) if isinstance(text, str) else set()
+    found = set(words)
+    for size in PREFIXES:
+        starts = Counter(w[:size] for w in words if len(w) > size)
+        for start, n in starts.items():
+            found.add(f"{start}*")
+            found.update(f"{start}*{k}" for k in range(2, min(n, 4) + 1))
+    return found
+
+
 # -- the chain ---------------------------------------------------------------
 
 
@@ -171,7 +189,7 @@ class Chain:
     models: tuple[Linear, ...]
 
     def places(self, text: object) -> np.ndarray:
-        found = set(_WORD.findall(text.lower())) if isinstance(text, str) else ()
+        found = features(text)
         return np.fromiter(sorted(self.words[w] for w in found if w in self.words), np.int64)
 
 
@@ -203,7 +221,7 @@ def choose_words(
             counts: dict[str, np.ndarray] = {"": np.zeros(len(categories) + 1, np.int64)}
             for text, *flags in zip(batch["text"], *(batch[c] for c in categories)):
                 one = np.array([1, *flags], np.int64)
-                for word in {"", *(_WORD.findall(text.lower()) if isinstance(text, str) else ())}:
+                for word in {"", *features(text)}:
                     if word in counts:
                         counts[word] += one
                     else:
@@ -216,7 +234,7 @@ def choose_words(
     schema = "word string, " + ", ".join(f"{n} long" for n in names)
     counted = (
         docs.select("doc_id", "text")
-        .join(known, "doc_id")
+        .join(sent_if_small(known), "doc_id")
         .select("text", *categories)
         .mapInPandas(run, schema)
         .groupBy("word")
@@ -256,9 +274,9 @@ def train(
     spark = docs.sparkSession
     ship_package(spark)
     names = tuple(categories)
-    known = known_categories(labels, categories)
-    texts = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
     scratch = scratch_for(spark, scratch)
+    known = scratch.stage(known_categories(labels, categories), "training-labels")
+    texts = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
     words = choose_words(texts, known, names, vocabulary, least_texts, scratch)
     empty = Chain(names, {w: i for i, w in enumerate(words)}, ())
     shared = spark.sparkContext.broadcast(empty)
