@@ -56,6 +56,20 @@ def ship_package(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(archive))
 
 
+#: A table of ids or digests with at most so many rows, some 60 MB, is sent to
+#: all tasks rather than shuffling texts to it.
+BROADCAST_ROWS = 1_000_000
+
+
+def sent_if_small(stored: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored table of narrow rows, marked for broadcast if it has few.
+
+    The rows are counted from the files' footers. Beyond the bound the join
+    shuffles both sides; it gives the same rows.
+    """
+    return F.broadcast(stored) if stored.count() <= rows else stored
+
+
 def free_name(taken: list[str], name: str) -> str:
     """``name``, with underscores in front until no column has it."""
     used = {c.lower() for c in taken}

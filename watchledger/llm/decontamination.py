@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from watchledger.llm.common import free_name, let, scratch_for
+from watchledger.llm.common import free_name, let, scratch_for, sent_if_small
 from watchledger.scratch import Scratch
 
 SHINGLE = 5
@@ -54,7 +54,8 @@ def shingles(found: Column, size: int = SHINGLE) -> Column:
 
 
 def text_key(text: Column) -> Column:
-    return F.sha2(text.cast("binary"), 256)
+    """The SHA-256 of a text, as 32 bytes."""
+    return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
 def sketch_items(
@@ -130,7 +131,8 @@ def contained_items(
     pairs = scratch.stage(candidates(docs, unique, shingle, scratch), "candidates")
     keyed = docs.select(text_key(F.col("text")).alias("key"), "text")
     # One row per text: only texts with a candidate are read on.
-    held = keyed.join(pairs.select("key").distinct(), "key", "left_semi")
+    wanted = scratch.stage(pairs.select("key").distinct(), "candidate-keys")
+    held = keyed.join(sent_if_small(wanted), "key", "left_semi")
     texts = held.dropDuplicates(["key"]).select(
         "key", F.array_distinct(shingles(words(F.col("text")), shingle)).alias("held")
     )
@@ -165,18 +167,19 @@ def contaminated_documents(
     """One row per document and item that it contains, with the document's id."""
     found = contained_items(docs, items, scratch=scratch, **options)
     ids = docs.select("doc_id", text_key(F.col("text")).alias("key"))
-    return ids.join(found, "key").drop("key")
+    return ids.join(sent_if_small(found), "key").drop("key")
 
 
 def decontaminate(
     docs: DataFrame, items: DataFrame, scratch: Scratch | None = None, **options
 ) -> DataFrame:
     """The documents that contain no item, with all their columns."""
+    scratch = scratch_for(docs.sparkSession, scratch)
     found = contained_items(docs, items, scratch=scratch, **options)
     name = free_name(docs.columns, "text_key")
     keyed = docs.select(
         *[F.col(f"`{c}`") for c in docs.columns],
-        F.coalesce(text_key(F.col("text")), F.lit("")).alias(name),
+        F.coalesce(text_key(F.col("text")), F.lit(b"")).alias(name),
     )
-    bad = found.select(F.col("key").alias(name)).distinct()
-    return keyed.join(bad, name, "left_anti").drop(name)
+    bad = scratch.stage(found.select(F.col("key").alias(name)).distinct(), "leaked-keys")
+    return keyed.join(sent_if_small(bad), name, "left_anti").drop(name)
