@@ -35,7 +35,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchledger.llm.common import free_name, held_out, ship_package
+from watchledger.llm.common import free_name, held_out, scratch_for, sent_if_small, ship_package
+from watchledger.scratch import Scratch
 
 BITS = 18
 PLACES = 1 << BITS
@@ -255,14 +256,20 @@ def fit_sample(docs: DataFrame, known: DataFrame, limit: int) -> DataFrame:
     return texts.groupBy("doc_id", "good").agg(F.min("text").alias("text"))
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    fit_rows: int = FIT_ROWS,
+    scratch: Scratch | None = None,
+) -> Model:
     """Learn from the labelled documents that are not held out."""
     spark = docs.sparkSession
     ship_package(spark)
-    known = training_labels(labels)
+    scratch = scratch_for(spark, scratch)
+    known = scratch.stage(training_labels(labels), "training-labels")
     texts = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
     counts = np.zeros((2, PLACES + 1))
-    found = class_counts(texts.join(known, "doc_id")).toPandas()
+    found = class_counts(texts.join(sent_if_small(known), "doc_id")).toPandas()
     counts[1, found["place"]], counts[0, found["place"]] = found["good"], found["poor"]
     constant = Model(np.zeros(PLACES, np.float32), np.zeros(PLACES, np.float32), 0.0, 0.0, 0.0, True)
     if not counts[:, PLACES].all():
