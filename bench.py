@@ -32,7 +32,7 @@ def main() -> None:
         {
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.driver.memory": "20g",
+            "spark.driver.memory": "8g",
             "spark.sql.shuffle.partitions": cpus,
         },
     )
@@ -77,8 +77,11 @@ def main() -> None:
         c.stg_consumption, dim_customer, dim_course, settings, scratch))
     timed("fact_revenue_attribution", attribution_again)
     timed("view_monthly_mrr_arr", lambda: views.view_monthly_mrr_arr(attribution))
-    timed("view_course_revenue_monthly", lambda: views.view_course_revenue_monthly(
-        attribution, dim_course, settings, scratch))
+    def course_revenue():
+        months = views.course_months(attribution, dim_course, settings, scratch)
+        return views.view_course_revenue_monthly(scratch.stage(months, "months"))
+
+    timed("view_course_revenue_monthly", course_revenue)
     timed("view_instructor_royalties_monthly",
           lambda: views.view_instructor_royalties_monthly(attribution, dim_course))
     timed("view_customer_subscription_status",
@@ -89,6 +92,8 @@ def main() -> None:
     timed("surrogate_key_dense", lambda: number_rows(
         consumption.drop("consumption_key"),
         ["customer_key", "course_key", "consumption_month"], scratch, "n"))
+    tables = {**c.model_tables(), "fact_revenue_attribution": attribution}
+    timed("build_checks", lambda: quality.build_tests(tables))
     timed("revenue_checks", lambda: quality.revenue_checks(attribution))
 
     print(json.dumps({

@@ -2,6 +2,7 @@
 
 import csv
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from watchledger.sources import (
     read_csv_seed,
     table_ref,
 )
-from watchledger.sources.seeds import SEED_COLUMNS
+from watchledger.sources.seeds import REJECTED, SEED_COLUMNS, write_csv_seed
 
 FIRST = {
     "customers": [
@@ -77,6 +78,7 @@ def test_tables_and_views(spark, built):
         "fact_order": 3,
         "fact_consumption": 4,
         "fact_revenue_attribution": 3,
+        "course_months": 2,
         "view_monthly_mrr_arr": 1,
         "view_course_revenue_monthly": 2,
         "view_instructor_royalties_monthly": 1,
@@ -94,20 +96,131 @@ def test_tables_and_views(spark, built):
     assert audit.n == 3
 
 
-def test_second_load_keeps_history(spark, built):
-    _, base = built
-    changed = dict(FIRST, customers=[["1", "05/10/22 13:45", "", "175.00"]])
-    raw = build.read_seeds(spark, write(base / "seeds2", changed), Settings())
-    history = table_ref(spark, str(base / "out" / "snap_customer"))
-    later = build.build_warehouse(
-        spark, raw, str(base / "out2"), dt.datetime(2022, 12, 1), history=history
-    )
-    rows = later.tables["dim_customer"].orderBy("customer_key").collect()
-    got = [(r.customer_id, str(r.total_spent), r.is_current) for r in rows]
-    assert got == [(1, "150.00", False), (1, "175.00", True), (2, "12.00", True)]
+def seeds(spark, base, name, **changed):
+    return build.read_seeds(spark, write(base / name, {**FIRST, **changed}), Settings())
+
+
+def versions(load):
+    rows = load.tables["dim_customer"].orderBy("customer_key").collect()
+    return [(r.customer_id, str(r.total_spent), r.is_current) for r in rows]
+
+
+def test_loads_follow_one_another_in_one_warehouse(spark, tmp_path):
+    out = str(tmp_path / "out")
+    day = dt.datetime(2022, 11, 1)
+    first = build.build_warehouse(spark, seeds(spark, tmp_path, "s1"), out, day)
+    assert build.loads(spark, out)[-1].endswith(first.folder.rsplit("/", 1)[1])
+
+    spent = [["1", "05/10/22 13:45", "", "175.00"]]
+    changed = seeds(spark, tmp_path, "s2", customers=spent)
+    broken = seeds(spark, tmp_path, "s3", orders=[["x", "N", "n/a", "1", "Pack", "IN", "1"]])
+    with pytest.raises(Exception):
+        build.build_warehouse(spark, broken, out, day + dt.timedelta(1))
+    # The failed load is not complete, and the one before is as it was.
+    assert len(build.loads(spark, out)) == 1
+    assert table_ref(spark, f"{build.loads(spark, out)[-1]}/snap_customer").count() == 2
+
+    later = build.build_warehouse(spark, changed, out, day + dt.timedelta(2))
+    assert versions(later) == [(1, "150.00", False), (1, "175.00", True), (2, "12.00", True)]
     # Facts point at the current version.
     keys = later.tables["fact_order"].where("customer_key is not null")
     assert {r.customer_key for r in keys.collect()} == {2, 3}
+    assert len(build.loads(spark, out)) == 2
+    with pytest.raises(FileExistsError):
+        build.build_warehouse(spark, changed, out, day)
+    assert versions(first) == [(1, "150.00", True), (2, "12.00", True)]
+
+
+def test_history_that_would_be_replaced_is_refused(spark, tmp_path):
+    out, day = str(tmp_path / "out"), dt.datetime(2022, 11, 1)
+    folder = build.load_folder(out, day)
+    rows = [(1, None, None, None, day, None)]
+    kinds = "customer_id long, first_paid_order_date timestamp_ntz, first_order_date"
+    kinds += " timestamp_ntz, total_spent decimal(18,2), dbt_valid_from timestamp_ntz,"
+    kinds += " dbt_valid_to timestamp_ntz"
+    spark.createDataFrame(rows, kinds).write.parquet(f"{folder}/snap_customer")
+    own = table_ref(spark, f"{folder}/snap_customer")
+    with pytest.raises(ValueError, match="history"):
+        build.build_warehouse(spark, seeds(spark, tmp_path, "s"), out, day, history=own)
+    assert own.count() == 1
+
+
+def test_every_test_of_the_models_is_run(built):
+    result, _ = built
+    rows = result.tests.collect()
+    kinds = Counter(r.kind for r in rows)
+    assert kinds == {"unique": 11, "not_null": 26, "accepted_values": 3, "relationships": 5, "singular": 5}
+    assert all(r.passed and r.failures == 0 for r in rows)
+
+
+def test_a_failed_test_can_stop_the_build(spark, tmp_path):
+    out, day = str(tmp_path / "out"), dt.datetime(2022, 11, 1)
+    twice = [*FIRST["orders"], ["10", "N10", "2022-10-08 09:00:00", "2", "Pack", "IN", "5"]]
+    raw = seeds(spark, tmp_path, "s", orders=twice)
+    with pytest.raises(build.BuildFailed, match="unique stg_orders.order_id"):
+        build.build_warehouse(spark, raw, out, day, stop_on_failure=True)
+    assert build.loads(spark, out) == []
+    kept = build.build_warehouse(spark, raw, out, day)
+    failed = {(r.model, r.column): r.failures for r in kept.tests.where("not passed").collect()}
+    assert failed == {("stg_orders", "order_id"): 1, ("fact_order", "order_id"): 1}
+
+
+def test_defining_the_views_runs_nothing(spark, built):
+    result, _ = built
+    t = result.tables
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("views", "define")
+    try:
+        views = build.analytics_views(
+            t["fact_revenue_attribution"], t["fact_order"], t["fact_consumption"],
+            t["dim_course"], t["dim_customer"], t["course_months"], Settings(),
+        )
+        assert len(views) == 5
+        assert not tracker.getJobIdsForGroup("views")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_build_leaves_only_its_tables(built):
+    result, base = built
+    (load,) = (base / "out").iterdir()
+    assert sorted(p.name for p in load.iterdir()) == sorted([*result.tables, build.TESTS])
+
+
+@pytest.mark.parametrize("columns", [SEED_COLUMNS["courses"], ["Course Type"]])
+@pytest.mark.parametrize(
+    "record", ["a,Paid", "a,Paid,b,c", '"a\nb",Paid,c', 'a,Paid,"b\nc,Paid,d"']
+)
+def test_records_that_do_not_fit_fail(spark, tmp_path, columns, record):
+    path = tmp_path / "x.csv"
+    path.write_text("Course Name,Course Type,Course Instructor\nx,Free,y\n" + record + "\n")
+    with pytest.raises(Exception, match="does not fit|not closed"):
+        read_csv_seed(spark, str(path), SEED_COLUMNS["courses"]).select(
+            *[f"`{c}`" for c in columns]
+        ).collect()
+
+
+def test_rejects_are_kept_apart_and_breaks_read_on_request(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text("Course Name,Course Type,Course Instructor\nx,Free,y\na,Paid\n")
+    rows = read_csv_seed(spark, str(path), SEED_COLUMNS["courses"], rejects=True).collect()
+    assert [r[REJECTED] for r in rows] == [None, "a,Paid"]
+    path.write_text('Course Name,Course Type,Course Instructor\n"a\nb",Free,y\n')
+    rows = read_csv_seed(spark, str(path), SEED_COLUMNS["courses"], multiline=True).collect()
+    assert [tuple(r) for r in rows] == [("a\nb", "Free", "y")]
+
+
+def test_catalogue_with_the_traits_of_a_real_one(spark, tmp_path):
+    """48 rows, 36 paid, 14 instructors, near-equal and mis-encoded names."""
+    names = [f"Course {i}, part \"{i % 3}\"" for i in range(45)]
+    names += ["Terraform : Cloud", "Terraform: Cloud", " Caf\u00c3\u00a9 basics "]
+    rows = [(n, "Free" if i % 4 == 0 else "Paid", f"T{i % 14}") for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in SEED_COLUMNS["courses"]))
+    path = str(tmp_path / "c.csv")
+    write_csv_seed(df, path)
+    back = read_csv_seed(spark, path, SEED_COLUMNS["courses"])
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    assert back.where("`Course Type` = 'Paid'").count() == 36
 
 
 def test_csv_header_is_checked(spark, tmp_path):

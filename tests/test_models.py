@@ -212,10 +212,8 @@ def busy_shop(spark, scratch):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 1, 0])
-def test_order_sequence(busy_shop, hot_rows):
-    """The same whether groups are ordinary or all count as hot."""
-    order = busy_shop.build(Settings(hot_rows=hot_rows)).order
+def test_order_sequence(busy_shop):
+    order = busy_shop.build().order
     names = ["order_id", "order_sequence", "is_first_order", "is_latest_order"]
     assert tuples(order, *names) == [
         (10, 2, False, False),
@@ -237,9 +235,8 @@ def test_order_sequence(busy_shop, hot_rows):
     assert sorted(keys) == [(n + 1, id_, owner[id_]) for n, id_ in enumerate(ids)]
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 0])
-def test_attribution_cases(busy_shop, hot_rows):
-    shop = busy_shop.build(Settings(hot_rows=hot_rows))
+def test_attribution_cases(busy_shop):
+    shop = busy_shop.build()
     assert tuples(shop.consumption, "customer_key", "total_minutes_consumed") == [
         (1, 60),
         (1, 7),
@@ -328,8 +325,13 @@ def test_movements_between_months(spark):
 COURSES = "course_key long, course_name string, course_type string, course_instructor string"
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 0])
-def test_course_revenue_ranks_and_engagement(spark, scratch, hot_rows):
+def course_revenue(rows, courses, scratch):
+    """The view over its stored table."""
+    months = views.course_months(rows, courses, SETTINGS, scratch)
+    return views.view_course_revenue_monthly(months)
+
+
+def test_course_revenue_ranks_and_engagement(spark, scratch):
     rows = attribution_rows(
         spark,
         [
@@ -347,9 +349,7 @@ def test_course_revenue_ranks_and_engagement(spark, scratch, hot_rows):
             (1, "A", "PAID"), (2, "B", "PAID"), (3, "C", "PAID"), (4, "F", "FREE")]],
         COURSES,
     )
-    view = views.view_course_revenue_monthly(
-        rows, courses, Settings(hot_rows=hot_rows), scratch
-    )
+    view = course_revenue(rows, courses, scratch)
     names = ["course_name", "revenue_rank", "popularity_rank", "unique_students"]
     names += ["students_1plus_hours", "engagement_rate_pct", "avg_revenue_per_student"]
     names += ["total_hours_consumed", "avg_minutes_per_student"]
@@ -373,7 +373,7 @@ def test_means_leave_out_null_revenue(spark, scratch):
     courses = spark.createDataFrame(
         [(1, "A", "PAID", "x"), (2, "B", "PAID", "x")], COURSES
     )
-    view = views.view_course_revenue_monthly(rows, courses, SETTINGS, scratch)
+    view = course_revenue(rows, courses, scratch)
     names = ["course_name", "total_revenue", "avg_revenue_per_student"]
     names += ["avg_minutes_per_student", "unique_students", "revenue_rank"]
     # Null sorts first descending, so the course without revenue ranks first.
@@ -395,9 +395,7 @@ def test_customers_are_counted_once_when_course_names_repeat(spark, scratch):
     )
     twice = [(1, "A", "PAID", None), (2, "A", "PAID", None)]
     courses = spark.createDataFrame(twice, COURSES)
-    (row,) = views.view_course_revenue_monthly(
-        rows, courses, SETTINGS, scratch
-    ).collect()
+    (row,) = course_revenue(rows, courses, scratch).collect()
     assert (row.unique_students, row.students_1plus_hours) == (2, 1)
     assert row.total_revenue == D("10.00") and row.avg_revenue_per_student == D("3.33")
     assert row.avg_minutes_per_student == D("43.33")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from watchledger.operators import (
     accepted_values,
     group_total,
-    hot_groups,
     keep_top,
     not_null,
     null_counts,
@@ -59,50 +58,51 @@ def test_number_rows_does_not_use_one_partition(skewed, scratch, plan_of):
     assert "BroadcastHashJoin" in plan_of(got)
 
 
-def test_hot_groups_are_found_with_null(skewed, scratch):
-    hot = hot_groups(skewed, ["k"], 500, scratch)
-    assert {r.k for r in hot.collect()} == {7, None}
-    assert hot_groups(skewed, ["k"], ROWS, scratch) is None
-
-
-@pytest.mark.parametrize("limit", [500, 0])
-def test_sequence_of_hot_groups(skewed, scratch, limit):
+def test_sequence_in_group(skewed, scratch):
     order = [F.asc_nulls_last("v"), F.asc("id")]
-    hot = hot_groups(skewed, ["k"], limit, scratch)
-    assert hot is not None
-    plain = sequence_in_group(skewed, ["k"], order, None, scratch)
-    same(sequence_in_group(skewed, ["k"], order, hot, scratch), plain)
+    window = Window.partitionBy("k").orderBy(*order)
+    plain = skewed.select(
+        "*",
+        F.row_number().over(window).cast("long").alias("sequence"),
+        F.lead(F.lit(1)).over(window).isNull().alias("is_last"),
+    )
+    same(sequence_in_group(skewed, ["k"], order, scratch), plain)
 
 
-def test_lookup_of_hot_groups(spark, skewed, scratch):
+def test_lookup_of_groups(spark, skewed, scratch):
     """Every row gets its group's value; the null group and misses get none."""
     names = spark.range(300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
-    hot = hot_groups(skewed, ["k"], 500, scratch)
-    order = [F.asc("id")]
-    for found in (hot, None):
-        got = sequence_in_group(skewed, ["k"], order, found, scratch, lookup=names)
-        assert got.count() == ROWS
-        wrong = F.col("k").isNull() | (F.col("k") >= 300)
-        assert got.where(wrong & F.col("d").isNotNull()).isEmpty()
-        assert got.where(~wrong & (~F.col("d").eqNullSafe(F.col("k") * 2))).isEmpty()
+    got = sequence_in_group(skewed, ["k"], [F.asc("id")], scratch, lookup=names)
+    assert got.count() == ROWS
+    wrong = F.col("k").isNull() | (F.col("k") >= 300)
+    assert got.where(wrong & F.col("d").isNotNull()).isEmpty()
+    assert got.where(~wrong & (~F.col("d").eqNullSafe(F.col("k") * 2))).isEmpty()
 
 
-@pytest.mark.parametrize("limit", [500, 0])
-def test_total_of_hot_groups(skewed, scratch, limit):
-    hot = hot_groups(skewed, ["k"], limit, scratch)
-    plain = group_total(skewed, ["k"], "v", "total", None, scratch)
-    same(group_total(skewed, ["k"], "v", "total", hot, scratch), plain)
+def test_total_of_groups(skewed):
+    total = F.sum("v").over(Window.partitionBy("k")).alias("total")
+    same(group_total(skewed, ["k"], "v", "total"), skewed.select("*", total))
 
 
 @pytest.mark.parametrize("metric", ["v", "tie"])
-@pytest.mark.parametrize("limit", [500, 0])
-def test_rank_in_hot_groups(skewed, scratch, metric, limit):
-    hot = hot_groups(skewed, ["k"], limit, scratch)
-    plain = rank_in_group(skewed, ["k"], metric, "place", None, scratch)
-    got = rank_in_group(skewed, ["k"], metric, "place", hot, scratch)
+def test_rank_in_groups(skewed, scratch, metric):
+    window = Window.partitionBy("k").orderBy(F.desc_nulls_first(metric))
+    plain = skewed.select("*", F.rank().over(window).cast("long").alias("place"))
+    got = rank_in_group(skewed, ["k"], metric, "place", scratch)
     same(got.select(*plain.columns), plain)
 
 
+def test_no_group_is_given_to_one_window_task(skewed, scratch, plan_of):
+    order = [F.asc("id")]
+    for df in (
+        sequence_in_group(skewed, ["k"], order, scratch),
+        group_total(skewed, ["k"], "v", "total"),
+        rank_in_group(skewed, ["k"], "v", "place", scratch),
+    ):
+        windows = [x for x in plan_of(df).splitlines() if "Window [" in x]
+        assert all("__part" in x for x in windows)
+
+
 def test_keep_top_reduces_before_the_shuffle(skewed, plan_of):
     top = keep_top(skewed, ["k"], [F.desc_nulls_first("v"), F.desc("id")])
     plan = plan_of(top)

@@ -89,18 +89,27 @@ def test_no_python_in_the_plans(plans):
             assert word not in plan, name
 
 
-def test_attribution_shuffles_each_input_once(plans):
-    """Join and group total share a shuffle; the third orders the keys."""
+def test_attribution_joins_months_before_rows(plans):
+    """Totals and latest orders meet first; the rows join what is left once."""
     plan = plans["ordered-revenue_key"]
-    assert len(lines(plan, "Exchange hashpartitioning")) == 2
     assert len(lines(plan, "Exchange rangepartitioning")) == 1
     assert lines(plan, "WindowGroupLimit", "Partial")
+    assert len(lines(plan, "FileScan", "total_minutes_consumed")) == 2
 
 
-def test_orders_share_the_shuffle_of_window_and_join(plans):
-    plan = plans["ordered-order_key"]
-    by_customer = lines(plan, "Exchange hashpartitioning(customer_id")
-    assert len(by_customer) == 2  # the orders and the dimension
+def test_watched_minutes_are_staged_once_and_read_twice(plans):
+    assert len(lines(plans["ordered-consumption_key"], "FileScan", "total_minutes_consumed")) == 2
+    assert len(lines(plans["matched-minutes"], "FileScan", "l_quantity")) == 1
+
+
+def test_raw_orders_are_read_once(plans):
+    assert len(lines(plans["ordered-__n"], "FileScan", "o_totalprice")) == 1
+    assert not lines(plans["ordered-order_key"], "FileScan", "o_totalprice")
+
+
+def test_no_window_takes_a_whole_group_of_facts(plans):
+    for name in ("ordered-__n", "ordered-order_key", "ordered-consumption_key", "course-months"):
+        assert all("__part" in x for x in lines(plans[name], "Window [")), name
 
 
 def test_scans_are_pruned_and_filtered(plans):
@@ -114,12 +123,12 @@ def test_scans_are_pruned_and_filtered(plans):
         "revenue_month",
         "subscription_monthly_value",
     }
-    for scan in lines(plans["ordered-consumption_key"], "FileScan", "l_quantity"):
+    for scan in lines(plans["matched-minutes"], "FileScan", "l_quantity"):
         assert "l_shipdate" not in scan and "l_extendedprice" not in scan
 
 
 def test_sums_are_combined_before_the_shuffle(plans):
-    for name in ("ordered-consumption_key", "course-months", "trends", "mrr"):
+    for name in ("matched-minutes", "course-months", "trends", "mrr"):
         assert lines(plans[name], "HashAggregate", "partial_sum"), name
 
 

@@ -6,20 +6,19 @@ from watchledger.operators.checks import (
     unique,
 )
 from watchledger.operators.history import scd2_merge
-from watchledger.operators.hot_groups import (
+from watchledger.operators.groups import (
+    attach,
     group_total,
-    hot_groups,
     rank_in_group,
     sequence_in_group,
-    split_hot,
 )
 from watchledger.operators.keep import keep_top
 from watchledger.operators.numbering import number_rows
 
 __all__ = [
     "accepted_values",
+    "attach",
     "group_total",
-    "hot_groups",
     "keep_top",
     "not_null",
     "null_counts",
@@ -28,6 +27,5 @@ __all__ = [
     "rank_in_group",
     "scd2_merge",
     "sequence_in_group",
-    "split_hot",
     "unique",
 ]

@@ -22,9 +22,15 @@ from watchledger.sources.seeds import SEED_COLUMNS, read_csv_seed
 from watchledger.sources.tables import (
     materialize_table,
     materialize_view,
+    table_ref,
     with_audit_times,
 )
 
+#: The history of the last complete load.
+PREVIOUS = "previous"
+#: The table with the results of the tests; it is written last.
+TESTS = "build_tests"
+
 
 @dataclass(frozen=True)
 class Raw:
@@ -44,6 +50,8 @@ class Built:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     views: dict[str, DataFrame] = field(default_factory=dict)
     checks: DataFrame | None = None
+    tests: DataFrame | None = None
+    folder: str = ""
 
     def row_counts(self) -> DataFrame:
         """One row per table and view with its number of rows."""
@@ -71,21 +79,58 @@ def read_seeds(
     return Raw(**frames, month=settings.consumption_month)
 
 
+class BuildFailed(RuntimeError):
+    """Tests failed in a build that was told to stop then."""
+
+
+def loads(spark: SparkSession, warehouse: str) -> list[str]:
+    """Folders of the complete loads of a warehouse, oldest first.
+
+    A load is complete once its last table, the results of its tests, is
+    committed. A build that fails leaves no such file, so readers stay with the
+    load before.
+    """
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(f"{warehouse}/load-*/{TESTS}/_SUCCESS")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = done.getFileSystem(conf).globStatus(done) or []
+    return sorted(status.getPath().getParent().getParent().toString() for status in found)
+
+
+def load_folder(warehouse: str, load_time: dt.datetime) -> str:
+    return f"{warehouse.rstrip('/')}/load-{load_time:%Y%m%dT%H%M%S}"
+
+
 def build_warehouse(
     spark: SparkSession,
     raw: Raw,
-    out: str,
+    warehouse: str,
     load_time: dt.datetime,
     settings: Settings = Settings(),
-    history: DataFrame | None = None,
+    history: DataFrame | str | None = PREVIOUS,
     as_views: bool = False,
+    stop_on_failure: bool = False,
 ) -> Built:
-    """Build everything under the folder ``out``.
+    """Build one load in a folder of its own under ``warehouse``, and test it.
 
-    ``history`` is the customer history of the load before; it must not lie
-    under ``out``, which is replaced table by table.
+    ``history`` is the customer history to go on from: that of the last
+    complete load by default, or a table from elsewhere, or None to start anew.
+    Earlier loads are only read. A load that is complete is never written again.
+
+    With ``stop_on_failure`` a failed test raises ``BuildFailed`` and the load
+    stays incomplete; otherwise the results are for the caller to look at.
     """
-    built = Built()
+    out = load_folder(warehouse, load_time)
+    complete = loads(spark, warehouse)
+    if any(folder.endswith(out.rsplit("/", 1)[1]) for folder in complete):
+        raise FileExistsError(f"{out} is a complete load; give another load time")
+    if isinstance(history, str):
+        history = table_ref(spark, f"{complete[-1]}/snap_customer") if complete else None
+    if history is not None:
+        name = out.rsplit("/", 1)[1]
+        if any(f"/{name}/" in file for file in history.inputFiles()):
+            raise ValueError(f"the history lies in {out}, which this build replaces")
+    built = Built(folder=out)
     with Scratch(spark) as scratch:
 
         def store(name: str, df: DataFrame, audit: bool = True) -> DataFrame:
@@ -130,6 +175,11 @@ def build_warehouse(
                 fact_order, fact_consumption, settings, scratch
             ),
         )
+        months = store(
+            "course_months",
+            views.course_months(attribution, dim_course, settings, scratch),
+            audit=False,
+        )
     built.views = {
         "stg_customers": customers,
         "stg_orders": orders,
@@ -141,11 +191,19 @@ def build_warehouse(
             fact_consumption,
             dim_course,
             dim_customer,
+            months,
             settings,
-            Scratch(spark, f"{out}/_work"),
         ),
     }
     built.checks = quality.revenue_checks(attribution)
+    results = quality.build_tests({**built.tables, **built.views}).coalesce(1)
+    if stop_on_failure:
+        results = results.cache()
+        failed = [f"{r.kind} {r.model}.{r.column}" for r in results.where("not passed").collect()]
+        if failed:
+            results.unpersist()
+            raise BuildFailed("; ".join(sorted(failed)))
+    built.tests = materialize_table(results, f"{out}/{TESTS}")
     if as_views:
         for name, df in {**built.tables, **built.views}.items():
             materialize_view(df, name)
@@ -167,15 +225,13 @@ def analytics_views(
     consumption: DataFrame,
     courses: DataFrame,
     customers: DataFrame,
+    months: DataFrame,
     settings: Settings,
-    scratch: Scratch,
 ) -> dict[str, DataFrame]:
     """The five views over stored tables."""
     return {
         "view_monthly_mrr_arr": views.view_monthly_mrr_arr(attribution),
-        "view_course_revenue_monthly": views.view_course_revenue_monthly(
-            attribution, courses, settings, scratch
-        ),
+        "view_course_revenue_monthly": views.view_course_revenue_monthly(months),
         "view_instructor_royalties_monthly": views.view_instructor_royalties_monthly(
             attribution, courses
         ),

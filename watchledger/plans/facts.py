@@ -13,11 +13,7 @@ from watchledger.functions import (
     month_start,
     share_4dp,
 )
-from watchledger.operators.hot_groups import (
-    group_total,
-    hot_groups,
-    sequence_in_group,
-)
+from watchledger.operators.groups import group_total, sequence_in_group
 from watchledger.operators.keep import keep_top
 from watchledger.operators.numbering import number_rows
 from watchledger.scratch import Scratch
@@ -37,17 +33,15 @@ def fact_order(
 ) -> DataFrame:
     """One row per order with its plan, monthly value and place in sequence.
 
-    The windows and the join share the partitioning by customer. Orders
-    without a customer form one group, which is why the group may be hot.
+    Orders are numbered by customer and time in sorted ranges, so that a
+    customer may have any share of them; those without one are a group too.
     """
     key = ["customer_id"]
-    hot = hot_groups(orders, key, settings.hot_rows, scratch)
     order = [F.asc_nulls_last("order_created_at"), F.asc_nulls_last("order_id")]
     placed = sequence_in_group(
         orders,
         key,
         order,
-        hot,
         scratch,
         sequence="order_sequence",
         is_last="is_latest_order",
@@ -111,16 +105,13 @@ def fact_consumption(
 ) -> DataFrame:
     """Minutes per customer, course and month, with the share of the month."""
     matched = minutes_by_keys(consumption, customers, courses)
-    grain = ["customer_key", "course_key", "consumption_month"]
-    keyed = number_rows(matched, grain, scratch, "consumption_key")
-
+    matched = scratch.stage(matched, "matched-minutes")
     group = ["customer_key", "consumption_month"]
-    hot = hot_groups(keyed, group, settings.hot_rows, scratch)
-    total = group_total(
-        keyed, group, "total_minutes_consumed", "month_minutes", hot, scratch
-    )
+    total = group_total(matched, group, "total_minutes_consumed", "month_minutes")
+    grain = ["customer_key", "course_key", "consumption_month"]
+    keyed = number_rows(total, grain, scratch, "consumption_key")
     spent = F.col("total_minutes_consumed")
-    return total.select(
+    return keyed.select(
         "consumption_key",
         "customer_key",
         "course_key",
@@ -163,8 +154,8 @@ def fact_revenue_attribution(
 ) -> DataFrame:
     """Each month's subscription value spread over the paid courses watched.
 
-    The join and the group total use the same two keys, so the consumption
-    side is shuffled once for both.
+    Totals and orders have one row per customer and month each. They are
+    joined first, and the rows of the months that are left join them once.
     """
     group = ["customer_key", "consumption_month"]
     paid = consumption.where("is_revenue_eligible").select(
@@ -174,16 +165,11 @@ def fact_revenue_attribution(
         "consumption_month",
         F.col("total_minutes_consumed").alias("course_minutes_consumed"),
     )
-    hot = hot_groups(paid, group, settings.hot_rows, scratch)
-    joined = paid.join(latest_paid_orders(orders), group)
-    shared = group_total(
-        joined,
-        group,
-        "course_minutes_consumed",
-        "total_paid_minutes_consumed",
-        hot,
-        scratch,
+    totals = paid.groupBy(*group).agg(
+        F.sum("course_minutes_consumed").alias("total_paid_minutes_consumed")
     )
+    months = totals.join(latest_paid_orders(orders), group)
+    shared = paid.join(months, group)
     order = ["customer_key", "course_key", "order_key", "consumption_month"]
     keyed = number_rows(shared, order, scratch, "revenue_key")
 

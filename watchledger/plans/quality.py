@@ -81,15 +81,21 @@ Tables = Mapping[str, DataFrame]
 
 
 def all_unique(tables: Tables, columns=UNIQUE_COLUMNS) -> DataFrame:
-    found = [
-        checks.unique(tables[model], column).select(
-            F.lit(model).alias("model_name"),
-            F.lit(column).alias("column_name"),
-            F.col("unique_field").cast("string").alias("unique_field"),
-            "n_records",
+    """Repeated values of every tested column, one scan per table."""
+    by_model: dict[str, list[str]] = {}
+    for model, column in columns:
+        by_model.setdefault(model, []).append(column)
+    found = []
+    for model, names in by_model.items():
+        texts = [F.col(n).cast("string").alias(n) for n in names]
+        values = tables[model].select(*texts).unpivot([], names, "column_name", "unique_field")
+        repeated = (
+            values.where("unique_field is not null")
+            .groupBy("column_name", "unique_field")
+            .agg(F.count(F.lit(1)).alias("n_records"))
+            .where("n_records > 1")
         )
-        for model, column in columns
-    ]
+        found.append(repeated.select(F.lit(model).alias("model_name"), "*"))
     return union_all(found)
 
 
@@ -226,17 +232,137 @@ def count_bad_tieout(attribution: DataFrame) -> DataFrame:
     )
 
 
+def _bad_months(attribution: DataFrame) -> DataFrame:
+    """One row: rows without revenue, and customer-months off in shares or revenue."""
+    one = F.lit(1).cast("decimal(6,4)")
+    months = attribution.groupBy("customer_key", "revenue_month").agg(
+        F.sum("attribution_percentage").alias("pct_sum"),
+        F.sum("attributed_revenue").alias("revenue_sum"),
+        F.max("subscription_monthly_value").alias("monthly_value"),
+        F.count_if(F.col("attributed_revenue").isNull()).alias("without"),
+    )
+    revenue, value = F.col("revenue_sum"), F.col("monthly_value")
+    return months.agg(
+        F.coalesce(F.sum("without"), F.lit(0)).alias("without"),
+        F.count_if(_off(F.col("pct_sum"), one, SHARE_TOLERANCE)).alias("shares"),
+        F.count_if(_off(revenue, value, TIE_OUT_TOLERANCE)).alias("tie_outs"),
+    )
+
+
 def revenue_checks(attribution: DataFrame) -> DataFrame:
-    """The four standing checks on the attribution fact."""
+    """The four standing checks on the attribution fact, from two scans of it.
+
+    Null counts come with the customer-months; repeated keys need a scan of
+    their own.
+    """
     name = "fact_revenue_attribution"
-    return union_all(
-        [
-            count_nulls(name, attribution, "attributed_revenue"),
-            count_duplicates(name, attribution, "revenue_key"),
-            count_bad_attribution(attribution),
-            count_bad_tieout(attribution),
+    counted = _bad_months(attribution)
+    checks_ = F.array(
+        *[
+            F.struct(F.lit(check).alias("check"), F.col(n).alias("n"), F.lit(text).alias("text"))
+            for check, n, text in (
+                ("not_null_attributed_revenue", "without", NULLS_TEXT),
+                ("attribution_sums_to_one", "shares", SHARES_TEXT),
+                ("revenue_ties_out", "tie_outs", TIE_OUT_TEXT),
+            )
         ]
     )
+    rows = counted.select(F.explode(checks_).alias("c")).select("c.*")
+    by_month = rows.select(
+        F.lit(name).alias("table_name"),
+        F.col("check").alias("check_name"),
+        (F.col("n") == 0).alias("passed"),
+        F.concat_ws(" ", F.col("n").cast("string"), "text").alias("details"),
+    )
+    return by_month.unionByName(count_duplicates(name, attribution, "revenue_key"))
+
+
+# -- the test stage of a build -----------------------------------------------
+
+
+def build_tests(tables: Tables) -> DataFrame:
+    """One row per test of the built tables: kind, model, column, failures, passed.
+
+    Counts of one table share a pass: nulls, values outside their lists, and
+    the row conditions of the attribution fact. Both conditions on
+    customer-months share another one.
+    """
+    fact = tables["fact_revenue_attribution"]
+    expected = F.round(F.col("attributed_revenue") * F.lit(Settings.royalty_rate), 2)
+    row_tests = {
+        "fact_revenue_attribution": {
+            ("singular", "non_negative_revenue"): F.col("attributed_revenue") < 0,
+            ("singular", "royalty_rate"): _off(
+                F.col("instructor_royalty"), expected, ROYALTY_TOLERANCE
+            ),
+        }
+    }
+    found = []
+    for model, names in NOT_NULL_COLUMNS.items():
+        tests = {("not_null", name): F.col(name).isNull() for name in names}
+        tests |= {
+            ("accepted_values", column): ~F.col(column).isin(*values)
+            for table, column, values in ACCEPTED_VALUES
+            if table == model
+        }
+        found.append(_counted(tables[model], model, tests | row_tests.get(model, {})))
+    repeated = all_unique(tables).groupBy("model_name", "column_name").count()
+    every = fact.sparkSession.createDataFrame(
+        list(UNIQUE_COLUMNS), "model string, column string"
+    )
+    same = (F.col("model") == F.col("model_name")) & (F.col("column") == F.col("column_name"))
+    found.append(
+        every.join(repeated, same, "left").select(
+            F.lit("unique").alias("kind"),
+            "model",
+            "column",
+            F.coalesce("count", F.lit(0)).alias("failures"),
+        )
+    )
+    for child, key, parent in RELATIONSHIPS:
+        lost = checks.orphans(tables[child], key, tables[parent], key)
+        found.append(_one("relationships", child, key, lost.agg(F.sum("n_records").alias("n"))))
+    bad = _bad_months(fact)
+    model = "fact_revenue_attribution"
+    months = F.expr(
+        "stack(2, 'attribution_sums_to_one', shares, 'revenue_ties_out', tie_outs)"
+    ).alias("column", "n")
+    found.append(
+        bad.select(months).select(
+            F.lit("singular").alias("kind"), F.lit(model).alias("model"), "column",
+            F.col("n").alias("failures"),
+        )
+    )
+    free = free_courses_in_revenue(fact, tables["dim_course"]).agg(F.count(F.lit(1)).alias("n"))
+    found.append(_one("singular", model, "no_free_courses", free))
+    return union_all(found).withColumn("passed", F.col("failures") == 0)
+
+
+def _counted(df: DataFrame, model: str, tests: Mapping[tuple[str, str], Column]) -> DataFrame:
+    """How many rows meet each condition, from one pass."""
+    names = [f"n{i}" for i in range(len(tests))]
+    counts = df.agg(*[F.count_if(test).alias(n) for n, test in zip(names, tests.values())])
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(kind).alias("kind"),
+                F.lit(model).alias("model"),
+                F.lit(column).alias("column"),
+                F.col(n).alias("failures"),
+            )
+            for n, (kind, column) in zip(names, tests)
+        ]
+    )
+    return counts.select(F.explode(rows).alias("t")).select("t.*")
+
+
+def _one(kind: str, model: str, column: str, counted: DataFrame) -> DataFrame:
+    return counted.select(
+        F.lit(kind).alias("kind"),
+        F.lit(model).alias("model"),
+        F.lit(column).alias("column"),
+        F.coalesce("n", F.lit(0)).cast("long").alias("failures"),
+    )
 
 
 def summary(results: DataFrame) -> DataFrame:

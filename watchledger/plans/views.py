@@ -1,10 +1,13 @@
 """The five analytics views.
 
 Customer counts use the grain of the facts: one row per customer, course and
-month. Summing per course key before meeting the dimension therefore gives the
-number of customers as a plain count, and only small tables are joined. When
-two course keys share a name that no longer holds, so ``_per_course`` looks
-and then counts customers exactly.
+month. Counting per course key therefore gives the number of customers. Where
+several course keys share a title that no longer holds, so ``_per_course`` keeps
+the customer in the key for those titles alone.
+
+A view is lazy: defining one runs nothing and writes nothing. Ranks need more
+than one pass, so ``course_months`` is a table of its own, one row per course and
+month, and the view on top of it is a projection.
 
 Ratios are computed after the final sort: sampling for the sort evaluates what
 lies below it a second time.
@@ -26,7 +29,7 @@ from watchledger.functions import (
     recency_status,
 )
 from watchledger.functions.amounts import cents
-from watchledger.operators.hot_groups import hot_groups, rank_in_group
+from watchledger.operators.groups import attach, rank_in_group
 from watchledger.scratch import Scratch
 from watchledger.settings import Settings
 
@@ -97,10 +100,10 @@ def view_monthly_mrr_arr(attribution: DataFrame) -> DataFrame:
     ).orderBy(F.desc("month"))
 
 
-def view_course_revenue_monthly(
+def course_months(
     attribution: DataFrame, courses: DataFrame, settings: Settings, scratch: Scratch
 ) -> DataFrame:
-    """Revenue, engagement and ranks of each paid course by month."""
+    """Totals, customers and ranks of each paid course by month, to be stored."""
     engaged = F.col("course_minutes_consumed") >= settings.engaged_minutes
     per_course = _per_course(
         attribution,
@@ -116,19 +119,21 @@ def view_course_revenue_monthly(
         },
         customers={"unique_students": F.lit(True), "students_1plus_hours": engaged},
     )
-    per_course = scratch.stage(per_course, "course-months")
-    hot = hot_groups(per_course, ["month"], settings.hot_rows, scratch)
-    ranked = per_course
+    ranked = scratch.stage(per_course, "course-months")
     for metric, name in (
         ("total_revenue", "revenue_rank"),
         ("unique_students", "popularity_rank"),
     ):
-        ranked = rank_in_group(ranked, ["month"], metric, name, hot, scratch)
+        ranked = rank_in_group(ranked, ["month"], metric, name, scratch)
+    return ranked
+
 
+def view_course_revenue_monthly(months: DataFrame) -> DataFrame:
+    """Revenue, engagement and ranks over the stored ``course_months``."""
     revenue, students = F.col("total_revenue"), F.col("unique_students")
     minutes = F.col("total_minutes_consumed")
     engaged_100 = F.col("students_1plus_hours") * 100
-    sorted_rows = ranked.orderBy(
+    sorted_rows = months.orderBy(
         F.desc("month"), F.desc_nulls_first("total_revenue"), "course_name"
     )
     return sorted_rows.select(
@@ -278,20 +283,18 @@ def _per_course(
 ) -> DataFrame:
     """Additive totals, and customers that meet a condition, per course and month."""
     titles = courses.select("course_key", *TITLE)
+    keys = titles.groupBy(*TITLE).agg((F.count(F.lit(1)) > 1).alias("shared"))
+    known = attach(titles, keys, TITLE)
     group = ["month", *TITLE]
-    dated = fact.withColumnRenamed(month, "month")
-    if _one_key_per_title(titles):
-        counted = {name: F.count_if(met) for name, met in customers.items()}
-        per_key = _aggregate(dated, ["month", "course_key"], totals | counted)
-        joined = per_key.join(titles, "course_key")
-        return joined.select(*group, *totals, *counted)
-    flags = {
-        name: F.max(F.coalesce(met, F.lit(False)).cast("int"))
-        for name, met in customers.items()
-    }
-    named = dated.join(titles, "course_key")
-    per_customer = _aggregate(named, [*group, "customer_key"], totals | flags)
-    again = {name: F.sum(name) for name in [*totals, *flags]}
+    named = fact.withColumnRenamed(month, "month").join(known, "course_key")
+    # The customer is in the key only where one may meet a title twice.
+    rows = named.withColumn("who", F.when(F.col("shared"), F.col("customer_key")))
+    counted = {}
+    for name, met in customers.items():
+        once = F.max(F.coalesce(met, F.lit(False)).cast("long"))
+        counted[name] = F.when(F.col("shared"), once).otherwise(F.count_if(met))
+    per_customer = _aggregate(rows, [*group, "shared", "who"], totals | counted)
+    again = {name: F.sum(name) for name in [*totals, *counted]}
     return _aggregate(per_customer, group, again)
 
 
@@ -299,9 +302,3 @@ def _aggregate(
     df: DataFrame, keys: Sequence[str], values: dict[str, Column]
 ) -> DataFrame:
     return df.groupBy(*keys).agg(*[v.alias(name) for name, v in values.items()])
-
-
-def _one_key_per_title(titles: DataFrame) -> bool:
-    repeated = titles.groupBy(*TITLE).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return repeated.isEmpty()
-

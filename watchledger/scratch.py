@@ -20,6 +20,8 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
+        if folder.startswith("file:") and not context.master.startswith("local"):
+            raise RuntimeError(f"{folder} is local to each machine of the cluster")
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError(

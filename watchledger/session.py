@@ -6,11 +6,15 @@ from pyspark.sql import SparkSession
 
 # AQE picks the number of reducers, splits skewed join partitions and switches
 # to broadcast joins by the sizes seen at run time. Recording the call site of
-# every column expression costs more driver time than planning does.
+# every column expression costs more driver time than planning does. Adaptive
+# execution merges small partitions but splits neither a sort nor a plain
+# aggregate, so a job starts with many and has them merged to the advisory size.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
@@ -27,6 +31,12 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **(extra or {})}.items():
+    settings = {**DEFAULTS, **(extra or {})}
+    if "spark.sql.shuffle.partitions" in (extra or {}):
+        # A number that the caller asks for is where jobs start, too.
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = (
+            (extra or {})["spark.sql.shuffle.partitions"]
+        )
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -15,7 +15,3 @@ class Settings:
     as_of: dt.date = dt.date(2022, 10, 1)
     at_risk_days: int = 90
     engaged_minutes: int = 60
-
-    # A group with more rows than this is not given to a single window task
-    # but taken through the split path of ``watchledger.operators.hot_groups``.
-    hot_rows: int = 1_000_000

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 from functools import cached_property
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from watchledger.plans import dimensions, facts, staging, views
 from watchledger.plans.build import Raw
+from watchledger.plans.quality import NOT_NULL_COLUMNS
 from watchledger.scratch import Scratch
 from watchledger.settings import Settings
 from watchledger.sources.commerce import AS_OF, FIRST_LOAD, SECOND_LOAD, Commerce
@@ -104,10 +107,39 @@ class Context:
         )
         return self.stored(built, "fact_revenue_attribution")
 
-    def view_course_revenue_monthly(self) -> DataFrame:
-        return views.view_course_revenue_monthly(
+    @cached_property
+    def faulty_attribution(self) -> DataFrame:
+        """The attribution fact with faults in rows that their keys single out."""
+        fact, key = self.fact_revenue_attribution, F.col("revenue_key")
+        free = self.dim_course.where("course_type = 'FREE'")
+        first = free.agg(F.min("course_key")).first()[0]
+        columns = {
+            "course_key": F.when(key % 11 == 0, F.lit(first)),
+            "attribution_percentage": F.when(
+                key % 5 == 0, F.col("attribution_percentage") + F.lit("0.5").cast("decimal(2,1)")
+            ),
+            "attributed_revenue": F.when(key % 7 == 0, -F.col("attributed_revenue")),
+            "instructor_royalty": F.when(key % 3 == 0, F.col("instructor_royalty") + 1),
+        }
+        changed = [
+            columns[c].otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
+            for c in fact.columns
+        ]
+        return self.stored(fact.select(*changed), "faulty_attribution")
+
+    @cached_property
+    def course_months(self) -> DataFrame:
+        built = views.course_months(
             self.fact_revenue_attribution, self.dim_course, self.settings, self.scratch
         )
+        return self.stored(built, "course_months")
+
+    def view_course_revenue_monthly(self) -> DataFrame:
+        return views.view_course_revenue_monthly(self.course_months)
+
+    def model_tables(self) -> dict[str, DataFrame]:
+        """What the tests of a build look at."""
+        return {name: self.tables[name] for name in NOT_NULL_COLUMNS}
 
     @property
     def tables(self) -> "Tables":
@@ -131,6 +163,16 @@ def context(spark: SparkSession, folder: str) -> Context:
     return _contexts[key]
 
 
+@atexit.register
+def drop_scratch() -> None:
+    """Take the stored tables of this process's sessions away at its end."""
+    active = SparkContext._active_spark_context
+    for (app, _), c in _contexts.items():
+        if active is not None and active.applicationId == app:
+            c.scratch.drop()
+    _contexts.clear()
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Types that both engines render alike: long, double and text for dates."""
     return df.select(*[_plain(field) for field in df.schema.fields])

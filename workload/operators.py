@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from watchledger import functions as L
 from watchledger.operators import (
     group_total,
-    hot_groups,
     keep_top,
     number_rows,
     orphans,
@@ -335,10 +334,7 @@ _GROUP = ["customer_key", "consumption_month"]
 )
 def join_self_aggregate(c):
     paid = c.fact_consumption.where("is_revenue_eligible")
-    hot = hot_groups(paid, _GROUP, c.settings.hot_rows, c.scratch)
-    total = group_total(
-        paid, _GROUP, "total_minutes_consumed", "whole", hot, c.scratch
-    )
+    total = group_total(paid, _GROUP, "total_minutes_consumed", "whole")
     return total.select("consumption_key", "total_minutes_consumed", "whole")
 
 
@@ -605,8 +601,7 @@ def dedup_keep_top(c):
 def _sequenced(c):
     order = [F.asc_nulls_last("order_created_at"), F.asc_nulls_last("order_id")]
     orders = c.stg_orders.select("order_id", "customer_id", "order_created_at")
-    hot = hot_groups(orders, ["customer_id"], c.settings.hot_rows, c.scratch)
-    return sequence_in_group(orders, ["customer_id"], order, hot, c.scratch)
+    return sequence_in_group(orders, ["customer_id"], order, c.scratch)
 
 
 @query("first_in_group_flag", pick("fact_order", "order_id:k is_first_order"))
@@ -648,8 +643,7 @@ def latest_per_group_month(c):
 )
 def share_of_group(c):
     value = "total_minutes_consumed"
-    hot = hot_groups(c.fact_consumption, _GROUP, c.settings.hot_rows, c.scratch)
-    total = group_total(c.fact_consumption, _GROUP, value, "whole", hot, c.scratch)
+    total = group_total(c.fact_consumption, _GROUP, value, "whole")
     part = L.share_4dp(F.col(value), F.col("whole"))
     return total.select("consumption_key", part.alias("share"))
 
@@ -707,8 +701,7 @@ def rank_over_aggregate(c):
         F.col("revenue_month").alias("month"), "course_key"
     ).agg(F.sum("attributed_revenue").alias("revenue"))
     totals = c.scratch.stage(totals, "course-revenue")
-    hot = hot_groups(totals, ["month"], c.settings.hot_rows, c.scratch)
-    return rank_in_group(totals, ["month"], "revenue", "place", hot, c.scratch)
+    return rank_in_group(totals, ["month"], "revenue", "place", c.scratch)
 
 
 # -- sorts and limits ------------------------------------------------------
@@ -930,10 +923,24 @@ def abs_diff(c):
     return c.fact_revenue_attribution.select("revenue_key", gap.alias("gap"))
 
 
-@query("now_audit")
+@query(
+    "now_audit",
+    sql(
+        "select cast(order_key as bigint) as order_key, true as stamped, true as equal,"
+        " true as within_the_run from fact_order"
+    ),
+)
 def now_audit(c):
-    """No SQL to compare with: the value is the clock."""
-    return tables.with_audit_times(c.fact_order.select("order_key"))
+    """What can be said of a clock: both stamps are there, alike, and of this run."""
+    started = F.lit(dt.datetime.now(dt.timezone.utc) - dt.timedelta(minutes=1))
+    created, updated = F.col("created_at"), F.col("updated_at")
+    stamped = tables.with_audit_times(c.fact_order.select("order_key"))
+    return stamped.select(
+        "order_key",
+        (created.isNotNull() & updated.isNotNull()).alias("stamped"),
+        (created == updated).alias("equal"),
+        ((created >= started) & (created <= F.current_timestamp())).alias("within_the_run"),
+    )
 
 
 @query(

@@ -330,6 +330,21 @@ MODELS = {
              sum(attributed_revenue) as revenue_sum,
              max(subscription_monthly_value) as monthly_value, count(*) as row_count
       from fact_revenue_attribution group by customer_key, revenue_month""",
+    "faulty_attribution": """
+      select revenue_key, customer_key, revenue_month, subscription_monthly_value,
+             case when mod(revenue_key, 11) = 0 then course_key + free_shift else course_key end as course_key,
+             case when mod(revenue_key, 5) = 0 then attribution_percentage + 0.5
+                  else attribution_percentage end as attribution_percentage,
+             case when mod(revenue_key, 7) = 0 then -attributed_revenue
+                  else attributed_revenue end as attributed_revenue,
+             case when mod(revenue_key, 3) = 0 then instructor_royalty + 1
+                  else instructor_royalty end as instructor_royalty
+      from (select f.*, (select min(course_key) from dim_course where course_type = 'FREE')
+              - course_key as free_shift from fact_revenue_attribution f)""",
+    "faulty_sums": """
+      select customer_key, revenue_month, sum(attribution_percentage) as pct_sum,
+             sum(attributed_revenue) as revenue_sum, count(*) as row_count
+      from faulty_attribution group by customer_key, revenue_month""",
 }
 
 
