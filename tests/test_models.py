@@ -473,3 +473,15 @@ def test_checks_find_planted_faults(spark):
     assert reports.bad_tieout(fact, 1).count() == 1
     nothing = quality.summary(results.where("false")).first()
     assert (nothing.total_checks, nothing.pass_rate) == (0, 0.0)
+
+
+def test_dates_that_do_not_exist_are_counted(spark):
+    dates = ["31/02/22 10:00", "05/10/22 25:00", "12-10-2022", "05/10/22 10:00", "", None, "n a"]
+    customers = raw(spark, "customers", [(str(i), d, "2022-10-05", "1") for i, d in enumerate(dates)])
+    orders = raw(spark, "orders", [("1", "N", "n/a", "1", "x", "IN", "1")])
+    found = quality.unparsed_dates({"customers": customers, "orders": orders})
+    assert tuples(found, "table_name", "column_name", "unparsed") == [
+        ("customers", "First Order Date", 0),
+        ("customers", "First Paid Order Date", 3),
+        ("orders", "Order Created At", 1),
+    ]

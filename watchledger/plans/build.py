@@ -51,6 +51,7 @@ class Built:
     views: dict[str, DataFrame] = field(default_factory=dict)
     checks: DataFrame | None = None
     tests: DataFrame | None = None
+    unparsed_dates: DataFrame | None = None
     folder: str = ""
 
     def row_counts(self) -> DataFrame:
@@ -196,6 +197,9 @@ def build_warehouse(
         ),
     }
     built.checks = quality.revenue_checks(attribution)
+    built.unparsed_dates = quality.unparsed_dates(
+        {"customers": raw.customers, "orders": raw.orders}
+    )
     results = quality.build_tests({**built.tables, **built.views}).coalesce(1)
     if stop_on_failure:
         results = results.cache()

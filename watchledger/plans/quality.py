@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from watchledger.functions import parse_mixed_timestamp
 from watchledger.operators import checks
 from watchledger.settings import Settings
 
@@ -137,6 +138,35 @@ def all_orphans(tables: Tables, columns=RELATIONSHIPS) -> DataFrame:
     return union_all(found)
 
 
+# -- dates -------------------------------------------------------------------
+
+# The raw columns that hold dates.
+DATE_COLUMNS = {
+    "customers": ("First Paid Order Date", "First Order Date"),
+    "orders": ("Order Created At",),
+}
+
+
+def unparsed_dates(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """Per raw date column, the texts with a date's separator that are no date.
+
+    Parsing turns them into null, so nothing else tells them from a blank.
+    """
+    found = []
+    for table, names in DATE_COLUMNS.items():
+        counts = []
+        for name in names:
+            text = F.col(f"`{name}`")
+            lost = text.rlike("[/-]") & parse_mixed_timestamp(text).isNull()
+            counts.append(
+                F.struct(F.lit(name).alias("column_name"), F.count_if(lost).alias("unparsed"))
+            )
+        counted = raw[table].agg(F.array(*counts).alias("counts"))
+        rows = counted.select(F.explode("counts").alias("c")).select("c.*")
+        found.append(rows.select(F.lit(table).alias("table_name"), "*"))
+    return union_all(found)
+
+
 # -- revenue checks --------------------------------------------------------
 
 

@@ -417,6 +417,26 @@ def dq_relationships_where(c):
     return checks.orphans(kept, key, c.fact_revenue_attribution, key)
 
 
+_NO_DATE = "31/02/22 10:00"
+
+
+@query(
+    "dq_unparsed_dates",
+    sql(
+        "select 'customers' as table_name, unnest(['First Paid Order Date',"
+        " 'First Order Date']) as column_name, 0::bigint as unparsed union all"
+        " select 'orders', 'Order Created At', count(*) from raw_orders"
+        " where mod(cast(order_id as bigint), 103) = 0"
+    ),
+)
+def dq_unparsed_dates(c):
+    """Over raw orders of which some have a day that does not exist."""
+    orders, number = c.raw.orders(), F.col("`Order ID`").cast("long")
+    created = F.when(number % 103 == 0, _NO_DATE).otherwise(F.col("`Order Created At`"))
+    orders = orders.withColumn("Order Created At", created)
+    return quality.unparsed_dates({"customers": c.raw.customers(), "orders": orders})
+
+
 @query(
     "dq_attribution_sums_to_one",
     pick(
