@@ -181,6 +181,17 @@ def test_defining_the_views_runs_nothing(spark, built):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_a_month_filter_reads_that_month_only(built, plan_of):
+    result, base = built
+    for name, month in (("fact_consumption", "consumption_month"), ("fact_revenue_attribution", "revenue_month")):
+        fact = result.tables[name]
+        plan = plan_of(fact.where(f"{month} = date'2022-10-01'"))
+        assert f"PartitionFilters: [isnotnull({month}" in plan
+        assert fact.count() == fact.where(f"{month} = date'2022-10-01'").count() > 0
+        (load,) = (base / "out").iterdir()
+        assert [p.name for p in (load / name).glob("*=*")] == [f"{month}=2022-10-01"]
+
+
 def test_a_build_leaves_only_its_tables(built):
     result, base = built
     (load,) = (base / "out").iterdir()

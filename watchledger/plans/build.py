@@ -134,9 +134,11 @@ def build_warehouse(
     built = Built(folder=out)
     with Scratch(spark) as scratch:
 
-        def store(name: str, df: DataFrame, audit: bool = True) -> DataFrame:
+        def store(
+            name: str, df: DataFrame, audit: bool = True, by: str | None = None
+        ) -> DataFrame:
             df = with_audit_times(df) if audit else df
-            built.tables[name] = materialize_table(df, f"{out}/{name}")
+            built.tables[name] = materialize_table(df, f"{out}/{name}", by)
             return built.tables[name]
 
         customers = staging.stg_customers(raw.customers)
@@ -165,7 +167,7 @@ def build_warehouse(
             fact = facts.fact_consumption(
                 consumption, dim_customer, dim_course, settings, scratch
             )
-            return store("fact_consumption", fact)
+            return store("fact_consumption", fact, by="consumption_month")
 
         fact_order, fact_consumption = _side_by_side(
             spark, orders_fact, consumption_fact
@@ -175,6 +177,7 @@ def build_warehouse(
             facts.fact_revenue_attribution(
                 fact_order, fact_consumption, settings, scratch
             ),
+            by="revenue_month",
         )
         months = store(
             "course_months",
