@@ -1,7 +1,6 @@
 """The classifier chain: held-out accuracy, later links, and the plain cases."""
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from watchledger.llm import queries, toxicity

@@ -23,7 +23,6 @@ query gets all of them; with none it has no row.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
