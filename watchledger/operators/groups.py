@@ -98,9 +98,7 @@ def _rank_of_values(
     offsets = F.broadcast(offsets_before(staged, F.sum("__rows")))
     better = F.coalesce(F.sum("__rows").over(earlier), F.lit(0)) + F.col(BEFORE)
     counted = staged.join(offsets, PART).select(*keys, metric, better.alias("__better"))
-    counted = scratch.stage(counted, "ranked-values")
     starts = counted.groupBy(*keys).agg(F.min("__better").alias("__start"))
-    starts = scratch.stage(starts, "ranked-starts")
     rank = (F.col("__better") - F.col("__start") + 1).alias(name)
     return attach(counted, starts, keys).select(*keys, metric, rank)
 
