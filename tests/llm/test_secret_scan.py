@@ -102,3 +102,44 @@ def test_empty_repeated_and_clashing(documents):
     odd = docs.withColumn("spans", F.lit(1)).withColumn("_spans", F.lit(2))
     assert secret_scan.scan_documents(odd).columns == [*odd.columns, "__spans"]
     assert secret_scan.redact_documents(odd).columns == odd.columns
+
+
+GLUED_KEY = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"
+
+
+def run_spans(text):
+    """Candidates with a window that reaches the threshold of its own class."""
+    found = []
+    for m in re.finditer(secret_scan.CANDIDATE, text):
+        hit = m[0]
+        if any(re.fullmatch(p, hit) for p in secret_scan.ALLOW):
+            continue
+        runs = [(hit, 3.7)] + [(r, 3.0) for r in re.findall("[0-9A-Fa-f]{20,}", hit)]
+        for run, least in runs:
+            if any(re.fullmatch(p, run) for p in secret_scan.ALLOW):
+                continue
+            if max(entropy(run[i : i + 20]) for i in range(len(run) - 19)) >= least:
+                found.append((m.start(), 3, m.end()))
+                break
+    return found
+
+
+@pytest.mark.parametrize("size", [20, 32, 40])
+@pytest.mark.parametrize("glue", ["{}", "/{}", "X-{}", "sig={}", "AUTH={}", "{}==", "a/{}-z", "KEY_{}_x"])
+def test_a_hexadecimal_key_is_found_whatever_is_glued_to_it(documents, glue, size):
+    text = "see " + glue.format(GLUED_KEY[:size]) + " here"
+    (row,) = secret_scan.scan_documents(documents([text])).collect()
+    assert [(s["start"], s["kind"], s["end"]) for s in row.spans] == [(4, 3, len(text) - 5)]
+    (clean,) = secret_scan.redact_documents(documents([text])).collect()
+    assert clean.text == f"see {secret_scan.PLACEHOLDER} here"
+
+
+def test_glued_texts_match_brute_force_by_run(documents):
+    digits, word, low = "31415926535897932384", "DEADBEEFFACADEFEEDBEEF", "A1" * 12
+    texts = [f"{name}{body}" for body in (digits, word, low, GLUED_KEY[:19], GLUED_KEY[:20])
+             for name in ("", "id=", "/", "n-", "_")]
+    texts += ["id=123E4567-E89B-12D3-A456-426614174000", f"{low}/{GLUED_KEY}", f"{digits}-{word}"]
+    rows = secret_scan.scan_documents(documents(texts)).orderBy("doc_id").collect()
+    for row, text in zip(rows, texts):
+        got = [(s["start"], s["kind"], s["end"]) for s in row.spans if s["kind"] == 3]
+        assert got == run_spans(text), text

@@ -7,11 +7,14 @@ lengths of pieces and matches.
 ``assign``, ``access`` and ``hex`` are patterns. ``entropy`` takes candidate
 strings and slides a window over each. A window is judged by the classes of
 characters that a generator of keys would draw from: hexadecimal digits, and
-base 64. The entropy of a window of ``w`` characters is
+base 64. Windows that lie within a run of hexadecimal digits have their
+threshold, wherever in the candidate the run is; so a name or path glued to a
+key does not hide it. The entropy of a window of ``w`` characters is
 ``log2(w) - S / w`` with ``S`` the sum of ``c * log2(c)`` over the counts ``c``
 of its characters. Moving on by one character changes two counts, so ``S`` is
-updated by two differences and not summed again. A candidate whose window
-reaches the class's threshold is a span, unless the allow-list has it.
+updated by two differences and not summed again. A candidate with a window that
+reaches its class's threshold is a span, unless the allow-list has the candidate
+or the run.
 
 Defined cases: a null or empty text has no spans and hashes the empty string.
 Rows are judged one by one, so repeats give the same result. Only the text
@@ -145,14 +148,32 @@ def is_random(
     window: int = WINDOW,
     allow: Sequence[str] = ALLOW,
 ) -> Column:
-    """Not allowed, and of enough entropy for the narrowest class it fits."""
+    """Not allowed, with a run of some class that has enough entropy in a window.
+
+    A run is judged as if it stood alone, so the allow-list holds for it too. It
+    is as long as a window at least, or the whole of a shorter candidate.
+    """
+    width = F.least(F.length(candidate), F.lit(window))
+
+    def gives_away(each: CharacterClass):
+        return lambda run: (
+            (F.length(run) >= width)
+            & ~_allowed(run, allow)
+            & (window_entropy(run, window) >= each.threshold)
+        )
+
+    found = F.lit(False)
+    for each in classes:
+        runs = F.regexp_extract_all(candidate, F.lit(each.pattern), F.lit(0))
+        found = found | F.exists(runs, gives_away(each))
+    return F.when(_allowed(candidate, allow), False).otherwise(found)
+
+
+def _allowed(text: Column, allow: Sequence[str]) -> Column:
     allowed = F.lit(False)
     for pattern in allow:
-        allowed = allowed | candidate.rlike(f"^(?:{pattern})$")
-    least = F.lit(math.inf)
-    for each in reversed(classes):
-        least = F.when(candidate.rlike(f"^(?:{each.pattern})$"), each.threshold).otherwise(least)
-    return F.when(allowed, False).otherwise(window_entropy(candidate, window) >= least)
+        allowed = allowed | text.rlike(f"^(?:{pattern})$")
+    return allowed
 
 
 def secret_spans(
