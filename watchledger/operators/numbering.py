@@ -14,20 +14,26 @@ ROW_BITS = 33  # monotonically_increasing_id: partition above, row number below
 
 
 def number_rows(
-    df: DataFrame, order: Sequence[str | Column], scratch: Scratch, name: str
+    df: DataFrame,
+    order: Sequence[str | Column],
+    scratch: Scratch,
+    name: str,
+    ranges: Sequence[str | Column] | None = None,
 ) -> DataFrame:
     """Add ``name`` = 1..n in the given order, which must identify a row.
 
     Columns given by name are sorted ascending with null last. Equal rows
     cannot be told apart by a range, so ``order`` should go on beyond the key
-    where a key may repeat.
+    where a key may repeat. ``ranges`` is what the partitions' borders are drawn
+    by, ``order`` itself by default. It must never decrease along ``order``: the
+    first letters of a long text will do. The driver samples these values.
 
     The rows are range-partitioned and sorted, then staged with their place
     inside the partition. A small table of partition sizes gives each
     partition's offset. Staging matters: a second evaluation could draw other
     range borders.
     """
-    staged = stage_in_order(df, order, scratch, name)
+    staged = stage_in_order(df, order, scratch, name, ranges)
     offsets = offsets_before(staged, F.count(F.lit(1)))
     numbered = staged.join(F.broadcast(offsets), PART)
     return numbered.select(
@@ -36,13 +42,17 @@ def number_rows(
 
 
 def stage_in_order(
-    df: DataFrame, order: Sequence[str | Column], scratch: Scratch, name: str
+    df: DataFrame,
+    order: Sequence[str | Column],
+    scratch: Scratch,
+    name: str,
+    ranges: Sequence[str | Column] | None = None,
 ) -> DataFrame:
     """Sorted range partitions, staged with partition number and row index."""
-    order = [F.asc_nulls_last(o) if isinstance(o, str) else o for o in order]
+    borders = _ascending(order if ranges is None else ranges)
     ordered = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        df.repartitionByRange(*borders)
+        .sortWithinPartitions(*_ascending(order))
         .withColumn(INDEX, F.monotonically_increasing_id())
         .withColumn(PART, F.shiftright(INDEX, ROW_BITS).cast("int"))
         .withColumn(INDEX, F.col(INDEX).bitwiseAND(F.lit((1 << ROW_BITS) - 1)))
@@ -50,6 +60,10 @@ def stage_in_order(
     return scratch.stage(ordered, f"ordered-{name}")
 
 
+def _ascending(order: Sequence[str | Column]) -> list[Column]:
+    return [F.asc_nulls_last(o) if isinstance(o, str) else o for o in order]
+
+
 def offsets_before(staged: DataFrame, weight: Column) -> DataFrame:
     """Per partition, the total weight of the partitions before it.
 

@@ -20,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
-        if folder.startswith("file:") and not context.master.startswith("local"):
+        if _is_local(spark, folder) and not context.master.startswith("local"):
             raise RuntimeError(f"{folder} is local to each machine of the cluster")
         return folder.rstrip("/")
     if not context.master.startswith("local"):
@@ -33,6 +33,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app].name
 
 
+def _is_local(spark: SparkSession, folder: str) -> bool:
+    """Whether a path, by its scheme or the default one, is on the machine itself."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return path.getFileSystem(conf).getUri().getScheme() == "file"
+
+
 class Scratch:
     """One run's staged tables. As a context manager it drops them at the end."""
 
@@ -52,10 +59,22 @@ class Scratch:
         return f"{self.root}/{next(self._serial):03d}-{name}"
 
     def drop(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        root.getFileSystem(conf).delete(root, True)
+        root, files = self._root()
+        files.delete(root, True)
+
+    def drop_at_exit(self) -> "Scratch":
+        """Have the driver's JVM drop the tables when it ends, also by ``stop()``.
+
+        For results that are read after the call that made them.
+        """
+        root, files = self._root()
+        files.mkdirs(root)
+        files.deleteOnExit(root)
+        return self
+
+    def _root(self):
+        root = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        return root, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def __enter__(self) -> "Scratch":
         return self
