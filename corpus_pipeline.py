@@ -64,7 +64,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that all stages together make of a folder's documents."""
-    scratch = Scratch(spark)
+    scratch = Scratch(spark).drop_at_exit()
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = scratch.stage(stage(spark, docs, sf_dir), name)
