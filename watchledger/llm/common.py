@@ -36,7 +36,8 @@ def unit_draw(seed: int, *parts: Column) -> Column:
 
 
 def scratch_for(spark: SparkSession, scratch: Scratch | None) -> Scratch:
-    return scratch if scratch is not None else Scratch(spark)
+    """The given one, or one whose tables go when the application ends."""
+    return scratch if scratch is not None else Scratch(spark).drop_at_exit()
 
 
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from watchledger.llm import (
     chat,
     decontamination,
+    exact_dedup,
+    filter_audit,
     mixing,
     quality,
     secret_scan,
@@ -19,7 +21,7 @@ from watchledger.llm import (
     toxicity,
     warc,
 )
-from watchledger.llm.common import held_out, table
+from watchledger.llm.common import held_out, scratch_for, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -373,3 +375,91 @@ def op10_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_archives(archives, written).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+# -- 11 ----------------------------------------------------------------------
+
+_COPIES_SQL = r"""
+with normal as (
+  select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
+select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
+  row_number() over (partition by t order by doc_id nulls last) = 1 as kept, sha256(t) as text_sha256
+from normal
+"""
+
+
+@query("op11_exact_dedup", _COPIES_SQL)
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The table comes in as two loads, lower ids first, as a corpus that grows."""
+    scratch = scratch_for(spark, None)
+    rows = exact_dedup.digested(table(spark, folder, "documents"), scratch)
+    count, low, high = rows.agg(F.count(F.lit(1)), F.min("id"), F.max("id")).first()
+    index = exact_dedup.DigestIndex(
+        spark, scratch.folder("index"), exact_dedup.buckets_for(count)
+    )
+    early = F.coalesce(F.col("id") <= ((low or 0) + (high or 0)) // 2, F.lit(False))
+    index.add(rows.where(early), "1")
+    index.add(rows.where(~early), "2")
+    return index.resolve(rows).select(
+        F.col("id").alias("doc_id"),
+        "keep_id",
+        "group_size",
+        (F.col("row") == F.col("keep_row")).alias("kept"),
+        F.lower(F.hex("digest")).alias("text_sha256"),
+    )
+
+
+# -- 12 ----------------------------------------------------------------------
+
+_AUDIT_SQL = r"""
+with worded as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents),
+marked as (
+  select part,
+    (len(w) < 100)::int + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::int
+      + 4 * (100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t))::int
+      + 8 * regexp_matches(t, '[#$%&*|]')::int
+      + 16 * coalesce(doc_id > min(doc_id) over (partition by t), false)::int as failed,
+    coalesce(doc_id in (select doc_id from labels where quality = 1 and doc_id is not null), false) as good,
+    coalesce(doc_id in (select doc_id from labels where toxic = 1 and doc_id is not null), false) as toxic
+  from worded),
+tallied as (
+  select part, failed, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic
+  from marked group by part, failed),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps as (
+  select filter_order, step::int as step, substr(filter_order, step::int, 1) as letter,
+    (1 << (strpos('ABCDE', substr(filter_order, step::int, 1)) - 1)::int) as bit,
+    coalesce(list_sum(list_transform(range(1, step), lambda i:
+      1 << (strpos('ABCDE', substr(filter_order, i::int, 1)) - 1)::int)), 0)::int as before
+  from orders, range(1, 6) as s(step)),
+counted as (
+  select part, filter_order, step, letter,
+    coalesce(sum(n) filter (failed & (before | bit) = 0), 0)::bigint as kept,
+    coalesce(sum(n) filter (failed & before = 0 and failed & bit <> 0), 0)::bigint as removed,
+    coalesce(sum(n) filter (failed & before <> 0 and failed & bit <> 0), 0)::bigint as redundant,
+    coalesce(sum(n) filter (failed = bit), 0)::bigint as unique_fails,
+    coalesce(sum(good) filter (failed & before = 0 and failed & bit <> 0), 0)::bigint as good_lost,
+    coalesce(sum(toxic) filter (failed & before = 0 and failed & bit <> 0), 0)::bigint as toxic_lost
+  from tallied, steps group by part, filter_order, step, letter)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) over (partition by part, letter))::bigint as shapley
+from counted
+"""
+
+
+@query("op12_filter_audit", _AUDIT_SQL)
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    tallied = filter_audit.tally(
+        table(spark, folder, "documents"),
+        filter_audit.text_failures(F.col("text")),
+        table(spark, folder, "labels"),
+        {"good_lost": F.col("quality") == 1, "toxic_lost": F.col("toxic") == 1},
+    )
+    return filter_audit.audit(tallied, "ABCDE", ["good_lost", "toxic_lost"])
