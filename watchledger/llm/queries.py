@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from watchledger.llm import (
     chat,
+    conversation_repair,
     decontamination,
     exact_dedup,
     filter_audit,
@@ -463,3 +464,119 @@ def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
         {"good_lost": F.col("quality") == 1, "toxic_lost": F.col("toxic") == 1},
     )
     return filter_audit.audit(tallied, "ABCDE", ["good_lost", "toxic_lost"])
+
+
+# -- 13 ----------------------------------------------------------------------
+
+
+_REPAIR_SQL = r"""
+with given as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k
+  from conversations),
+drawn as (
+  select *, xor(list_reduce(
+      list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i::int, 1))::bigint),
+      lambda c, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::bigint[], lambda d, j:
+        case when d & 1 = 1 then xor(d >> 1, 3988292384::bigint) else d >> 1 end, xor(c, b)),
+      4294967295::bigint), 4294967295::bigint) % 20 as kind
+  from given),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case when kind = 1 then '' when kind = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from drawn, range(0, 2) as copies(copy)
+  where kind <> 0 and (copy = 0 or kind = 3)),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as p from damaged),
+judged as (
+  select conv_id, turn, role, text, p,
+    coalesce(list_position(['s', 'u', 'a'], left(role, 1)), 4) as r,
+    case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 1
+      when row_number() over (partition by conv_id, role, text order by p) > 1 then 2
+      when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 3 else 0 end as f
+  from placed),
+whole as (
+  select conv_id, list({'r': r, 'f': f, 'role': role, 'text': text} order by p) as rows,
+    coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (f = 1) as blank, count(*) filter (f = 2) as duplicate, count(*) filter (f = 3) as truncated
+  from judged group by conv_id),
+solved as (
+  select *, list_reduce(rows, lambda s, x: list_transform([CLOSED_S], lambda c: [
+      {'c': c[1].c + 4, 'a': c[1].a || 'D'},
+      least({'c': c[2].c + 4, 'a': c[2].a || 'D'},
+        {'c': c[1].c + case when x.r <> 1 or x.f in (1, 2) then 1000000000 when x.f = 3 then 3 else 0 end, 'a': c[1].a || 'K'}),
+      least({'c': c[3].c + 4, 'a': c[3].a || 'D'}, TAKE_1_2, TAKE_2_2, TAKE_4_2),
+      least({'c': c[4].c + 4, 'a': c[4].a || 'D'}, TAKE_3_3)])[1],
+    [{'c': 0::bigint, 'a': ''}, {'c': 1000000000::bigint, 'a': ''}, {'c': 1000000000::bigint, 'a': ''},
+     {'c': 1000000000::bigint, 'a': ''}]) as s
+  from whole),
+best as (
+  select *, list_transform([CLOSED_S], lambda c: least(c[1], c[4]))[1] as b from solved),
+lettered as (
+  select *, list_filter(string_split(b.a, ''), lambda x: x <> '') as letters from best),
+kept as (
+  select *, list_filter(range(1, len(letters) + 1), lambda j: letters[j] <> 'D') as places from lettered),
+spelled as (
+  select *, list_transform(places, lambda j: {
+      'letter': letters[j],
+      'row': rows[len(list_filter(letters[1:j], lambda x: x <> 'I'))]}) as turns
+  from kept),
+repaired as (
+  select *, (len(turns) > 0 and turns[1].letter = 'K' and turns[1].row.r = 1)::int as lead from spelled),
+audited as (
+  select conv_id, gaps, blank, duplicate, truncated,
+    len(list_filter(range(1, len(rows)), lambda i:
+      not ([rows[i].r, rows[i + 1].r] in ([1, 2], [2, 3], [3, 2])))) as illegal,
+    b.c as cost, b.a as audit,
+    sha256(array_to_string(list_transform(range(1, len(turns) + 1), lambda q:
+      case when turns[q].letter = 'K' then turns[q].row.role
+        when (q - lead) % 2 = 1 then 'user' else 'assistant' end
+      || ':' || case when turns[q].letter = 'I' then '' else turns[q].row.text end), chr(10))) as repaired_sha256
+  from repaired),
+ids as (select distinct conv_id from conversations)
+select ids.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank,
+  coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+  coalesce(illegal, 0)::bigint as illegal, coalesce(cost, 0)::bigint as cost, coalesce(audit, '') as audit,
+  coalesce(repaired_sha256, sha256('')) as repaired_sha256
+from ids left join audited on ids.conv_id is not distinct from audited.conv_id
+"""
+
+
+def _repair_sql() -> str:
+    """The cheapest edits by dynamic programming over the rows, forwards."""
+
+    def close(s: str) -> str:
+        """One more turn may be inserted."""
+        more = "{{'c': {0}.c + 3, 'a': {0}.a || 'I'}}"
+        user = ", ".join(more.format(f"{s}[{k}]") for k in (1, 2, 4))
+        assistant = more.format(f"{s}[3]")
+        return f"[{s}[1], {s}[2], least({s}[3], {user}), least({s}[4], {assistant})]"
+
+    twice = f"list_transform([{close('s')}], lambda t: {close('t')})[1]"
+    sql = _REPAIR_SQL.replace("CLOSED_S", twice)
+    for state, role in ((1, 2), (2, 2), (4, 2), (3, 3)):
+        cost = (
+            f"case when x.f in (1, 2) then 1000000000 when x.f = 3 then 3 else 0 end"
+            f" + case when x.r = {role} then 0 else 3 end"
+        )
+        letter = f"case when x.r = {role} then 'K' else 'R' end"
+        sql = sql.replace(
+            f"TAKE_{state}_{role}",
+            f"{{'c': c[{state}].c + {cost}, 'a': c[{state}].a || {letter}}}",
+        )
+    return sql
+
+
+@query("op13_conversation_repair", _repair_sql())
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations")
+    audits, turns = conversation_repair.repair(conversation_repair.damage(given))
+    digests = conversation_repair.digest_turns(turns)
+    whole = conversation_repair.together([given.select("conv_id"), audits, digests], "conv_id")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return whole.select(
+        "conv_id",
+        *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
+    )
