@@ -1,0 +1,235 @@
+"""Conversation repair against trying out all edits."""
+
+import hashlib
+import itertools
+import re
+import zlib
+
+import pytest
+
+from watchledger.llm import conversation_repair as repair_module
+from watchledger.llm import queries
+from watchledger.llm.conversation_repair import (
+    ENDS, EDITS, INSERT, NEXT, NOTHING, fold, search, search_stretch, spelled_before,
+)
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+NAMES = "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256".split()
+
+
+# -- brute force: every edit sequence with few insertions ---------------------
+
+
+def brute_audit(rows):
+    """(cost, audit, turns) over all sequences of edits; rows are (role, text, fault)."""
+    best = None
+    gaps = len(rows) + 1
+    choices = []
+    for role, text, fault in rows:
+        extra = 3 if fault == "truncated" else 0
+        options = [("D", 4, None)]
+        if fault not in ("blank", "duplicate"):
+            options.append(("K", extra, (role, text)))
+            options += [("R", 3 + extra, (r, text)) for r in ("user", "assistant")]
+        choices.append(options)
+    inserted = [()] + [(a,) for a in ("user", "assistant")] + [
+        (a, b) for a in ("user", "assistant") for b in ("user", "assistant")
+    ]
+    for edits in itertools.product(*choices):
+        for added in itertools.product(inserted, repeat=gaps):
+            if sum(map(len, added)) > 3:
+                continue
+            cost, audit, turns = 3 * sum(map(len, added)), "", []
+            for i in range(gaps):
+                audit += "I" * len(added[i])
+                turns += [(r, "") for r in added[i]]
+                if i < len(edits):
+                    letter, spent, turn = edits[i]
+                    audit, cost = audit + letter, cost + spent
+                    turns += [turn] if turn else []
+            initials = "".join(r[0] if r else "?" for r, _ in turns)
+            if re.fullmatch("(s?(ua)+)?", initials) and (best is None or (cost, audit) < best[:2]):
+                best = cost, audit, turns
+    return best
+
+
+def forward_audit(rows):
+    """The same by dynamic programming forwards, for longer conversations."""
+    far = (10**9, "", ())
+    states = [(0, "", ()), far, far, far]
+
+    def close(states):
+        for _ in range(3):
+            for s in range(4):
+                cost, audit, turns = states[s]
+                t = NEXT[s]
+                role = ("user", "assistant")[t - 2]
+                states[t] = min(states[t], (cost + 3, audit + "I", (*turns, (role, ""))))
+        return states
+
+    for role, text, fault in rows:
+        old, new = close(states), [far] * 4
+        extra = 3 if fault == "truncated" else 0
+        for s, (cost, audit, turns) in enumerate(old):
+            new[s] = min(new[s], (cost + 4, audit + "D", turns))
+            if fault in ("blank", "duplicate"):
+                continue
+            kept = {"s": 1, "u": 2, "a": 3}.get(role[:1])
+            if kept == NEXT[s] or (kept == 1 and s == 0):
+                new[kept] = min(new[kept], (cost + extra, audit + "K", (*turns, (role, text))))
+            t = NEXT[s]
+            again = (("user", "assistant")[t - 2], text)
+            new[t] = min(new[t], (cost + 3 + extra, audit + "R", (*turns, again)))
+        states = new
+    states = close(states)
+    return min(states[0], states[3])
+
+
+def judged(rows):
+    """Faults of (turn, role, text) rows in order."""
+    seen, found = set(), []
+    for _, role, text in rows:
+        filled = re.sub(r"[\x20\x09-\x0D]+", "", text)
+        if not filled:
+            fault = "blank"
+        elif (role, text) in seen:
+            fault = "duplicate"
+        elif filled[-1] not in ".!?":
+            fault = "truncated"
+        else:
+            fault = ""
+        seen.add((role, text))
+        found.append((role, text, fault))
+    return found
+
+
+def brute(rows, audit=forward_audit):
+    damaged = {}
+    for conv_id, turn, role, text in rows:
+        kept = damaged.setdefault(conv_id, [])
+        shown = [" " if x is None else str(x) for x in (conv_id, turn)]
+        kind = zlib.crc32(":".join(shown).encode()) % 20
+        role, text = (" " if x is None else x for x in (role, text))
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        row = (turn, "user" if kind == 4 else role, text)
+        kept += [] if kind == 0 else [row] * (2 if kind == 3 else 1)
+    found = []
+    for conv_id, kept in damaged.items():
+        kept.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        faults = judged(kept)
+        cost, letters, turns = audit(faults)
+        numbers = [t for t, _, _ in kept if t is not None]
+        gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+        pairs = zip(kept, kept[1:])
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in pairs)
+        text = "\n".join(f"{r}:{t}" for r, t in turns)
+        counts = [sum(f == x for _, _, f in faults) for x in ("blank", "duplicate", "truncated")]
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        found.append((conv_id, gaps, *counts, illegal, cost, letters, digest))
+    return sorted(found, key=repr)
+
+
+def asked(spark, tmp_path, rows, schema=SCHEMA):
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "conversations.parquet"))
+    df = queries.op13_conversation_repair(spark, str(tmp_path))
+    assert df.columns == NAMES
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+# -- the search --------------------------------------------------------------
+
+
+def named(codes):
+    roles, faults = ("system", "user", "assistant", "tool"), ("", "blank", "duplicate", "truncated")
+    return [(roles[c % 4], "t", faults[c // 4]) for c in codes]
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_search_matches_trying_all_edits(seed):
+    digest = hashlib.sha256(str(seed).encode()).digest()
+    codes = [b % 16 for b in digest[: seed % 4]]
+    expected = brute_audit(named(codes))[:2]
+    letters = "".join(f"{c:x}" for c in codes)
+    cost, pieces = fold([search_stretch(letters, True, True)]) if codes else (0, [])
+    assert (cost, "".join(pieces)) == expected == forward_audit(named(codes))[:2]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_stretches_fold_to_the_whole(seed):
+    digest = b"".join(hashlib.sha256(f"{seed}:{i}".encode()).digest() for i in range(3))
+    codes = "".join(f"{b % 16:x}" for b in digest[: 5 + seed])
+    whole = fold([search_stretch(codes, True, True)])
+    parts = [codes[i : i + 3] for i in range(0, len(codes), 3)]
+    tables = [search_stretch(p, i == 0, i == len(parts) - 1) for i, p in enumerate(parts)]
+    cost, pieces = fold(tables)
+    assert (cost, "".join(pieces)) == (whole[0], "".join(whole[1]))
+    assert (cost, "".join(pieces)) == forward_audit(named([int(c, 16) for c in codes]))[:2]
+
+
+def test_a_full_stretch_takes_little_time():
+    codes = [(7 * i * i + i) % 16 for i in range(4096)]
+    cost, letters = search(codes, NOTHING, ENDS[1])
+    assert cost == forward_audit(named(codes[:0]))[0] + cost and len(letters) >= 4096
+
+
+def test_chains_compare_by_their_letters():
+    a = ("KD", ("I", ("K", None)))
+    assert not spelled_before(a, ("K", ("DIK", None)))
+    assert spelled_before(("K", None), ("KD", None)) and not spelled_before(a, a)
+    assert spelled_before(("D", ("", ("K", None))), ("DR", None))
+
+
+def test_blank_and_duplicate_rows_can_only_be_deleted():
+    for code in range(4, 12):
+        assert all(edits == [("D", 4, s)] for s, edits in enumerate(EDITS[code]))
+    assert INSERT == 3
+
+
+# -- the query ---------------------------------------------------------------
+
+
+def chat(conv_id, turns):
+    return [(conv_id, t, role, text) for t, (role, text) in enumerate(turns)]
+
+
+def test_query_matches_brute_force(spark, tmp_path):
+    rows, texts = [], ["Fine.", "Cut off", "", " \t", "Right!", "Why?", "a. b", "Fine.", None]
+    roles = ["user", "assistant", "system", "tool", None, "", "user", "assistant", "Admin", "agent"]
+    for c in range(150):
+        digest = hashlib.sha256(f"conv {c}".encode()).digest()
+        for t in range(c % 9):
+            turn = None if digest[t] % 17 == 0 else t + digest[t] % 3
+            rows.append((c, turn, roles[digest[t + 8] % len(roles)], texts[digest[t + 16] % len(texts)]))
+    rows += [(None, 0, "user", "Hi."), (None, 1, "assistant", "Yes."), (7, None, None, None)]
+    rows += rows[:20]
+    assert asked(spark, tmp_path, rows) == brute(rows)
+
+
+def test_empty_table_and_clashing_columns(spark, tmp_path):
+    assert asked(spark, tmp_path / "none", []) == []
+    rows = chat(5, [("user", "Hi."), ("assistant", "x" * 100_000 + "."), ("user", "So")])
+    wide = [(*r, 1, "y", 2, "z", 3) for r in rows]
+    schema = SCHEMA + ", n int, letters string, place int, key string, copy int"
+    assert asked(spark, tmp_path / "wide", wide, schema) == brute(rows)
+
+
+def test_one_conversation_holds_a_third_of_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(repair_module, "STRETCH", 64)
+    rows = [
+        (0 if i % 3 else i, i, ("user", "assistant", "tool", "system")[i * i % 4], f"{i % 40} {'.!'[i % 2]}")
+        for i in range(900)
+    ]
+    assert asked(spark, tmp_path, rows) == brute(rows)
+
+
+def test_repaired_turns_alternate(spark, scratch):
+    given = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    _, turns = repair_module.repair(repair_module.damage(given), scratch)
+    rows = turns.collect()
+    by_conversation = {}
+    for r in rows:
+        by_conversation.setdefault(r.conv_id, []).append(r)
+    for kept in by_conversation.values():
+        assert [r.place for r in kept] == list(range(1, len(kept) + 1))
+        assert re.fullmatch("(s?(ua)+)?", "".join(r.role[0] for r in kept))
+        assert all(r.text == "" for r in kept if r.edit == "I")
