@@ -169,3 +169,14 @@ def test_join_of_a_hot_user_is_split(spark):
     final = plan.toString().split("Initial Plan")[0]
     assert "SortMergeJoin(skew=true) [user_id" in final
     assert rows == watched.select("user_id", "course_name").distinct().count()
+
+
+def test_ranks_read_each_stored_table_twice_at_most(plans):
+    """Both ranks share one sort; what they are joined to is read for them and once more."""
+    scans = {name: len(lines(plans[name], "FileScan", f"-{stored}]")) for name, stored in (
+        ("rank-pieces", "ordered-ranks"), ("ranks", "rank-pieces"), ("course_months", "ranks"))}
+    assert len(lines(plans["ranks"], "FileScan", "ordered-ranks")) == 1
+    assert len(lines(plans["rank-pieces"], "FileScan", "ordered-ranks")) == 1
+    assert len(lines(plans["course_months"], "FileScan", "ranks,")) + scans["course_months"] <= 2
+    assert len(lines(plans["course_months"], "FileScan", "-course-months")) == 1
+    assert len(lines(plans["ordered-ranks"], "FileScan", "-course-months")) == 1

@@ -10,6 +10,7 @@ from watchledger.operators.groups import (
     attach,
     group_total,
     rank_in_group,
+    ranks_in_group,
     sequence_in_group,
 )
 from watchledger.operators.keep import keep_top
@@ -25,6 +26,7 @@ __all__ = [
     "number_rows",
     "orphans",
     "rank_in_group",
+    "ranks_in_group",
     "scd2_merge",
     "sequence_in_group",
     "unique",

@@ -10,7 +10,7 @@ partition of a frequent key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +26,9 @@ from watchledger.operators.numbering import (
 )
 from watchledger.scratch import Scratch
 
+#: In tables of ranks: the rank's name, and the value ranked.
+RANKED, VALUE = "__ranked", "__value"
+
 
 def attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join on keys of which null is one, adding the other columns."""
@@ -77,30 +80,76 @@ def rank_in_group(
     df: DataFrame, keys: Sequence[str], metric: str, name: str, scratch: Scratch
 ) -> DataFrame:
     """Add the rank by ``metric`` descending, null first, with gaps after ties."""
-    ranks = _rank_of_values(df, keys, metric, name, scratch)
-    return attach(df, ranks, [*keys, metric])
+    return ranks_in_group(df, keys, {name: metric}, scratch)
 
 
-def _rank_of_values(
-    df: DataFrame, keys: Sequence[str], metric: str, name: str, scratch: Scratch
+def ranks_in_group(
+    df: DataFrame, keys: Sequence[str], metrics: Mapping[str, str], scratch: Scratch
+) -> DataFrame:
+    """Add a rank per entry of ``metrics``, from new name to numeric column.
+
+    All metrics share one aggregate, one sort and one stored table of ranks.
+    Reads ``df`` twice.
+    """
+    ranks = scratch.stage(_ranks_of_values(df, keys, metrics, scratch), "ranks")
+    for name, metric in metrics.items():
+        of_metric = ranks.where(F.col(RANKED) == name).select(
+            *keys,
+            F.col(VALUE).cast(df.schema[metric].dataType).alias(metric),
+            F.col("__rank").alias(name),
+        )
+        df = attach(df, of_metric, [*keys, metric])
+    return df
+
+
+def _ranks_of_values(
+    df: DataFrame, keys: Sequence[str], metrics: Mapping[str, str], scratch: Scratch
 ) -> DataFrame:
     """Rank of each distinct value: one more than the rows with a better one.
 
     Ties are counted together before anything is ordered, so a value shared by
     most rows is one row here. The running count is taken within range
-    partitions and moved up by what the partitions before hold.
+    partitions. What it starts from, for a group and a partition, is kept in a
+    small table: a row per partition and group in it.
     """
-    values = df.groupBy(*keys, metric).agg(F.count(F.lit(1)).alias("__rows"))
-    order = [*keys, F.desc_nulls_first(metric)]
-    staged = stage_in_order(values, order, scratch, name)
-    inside = Window.partitionBy(PART).orderBy(INDEX)
-    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = F.broadcast(offsets_before(staged, F.sum("__rows")))
-    better = F.coalesce(F.sum("__rows").over(earlier), F.lit(0)) + F.col(BEFORE)
-    counted = staged.join(offsets, PART).select(*keys, metric, better.alias("__better"))
-    starts = counted.groupBy(*keys).agg(F.min("__better").alias("__start"))
-    rank = (F.col("__better") - F.col("__start") + 1).alias(name)
-    return attach(counted, starts, keys).select(*keys, metric, rank)
+    same = _common_type(df, list(metrics.values()))
+    listed = [
+        F.struct(F.lit(name).alias(RANKED), F.col(metric).cast(same).alias(VALUE))
+        for name, metric in metrics.items()
+    ]
+    group = [*keys, RANKED]
+    values = (
+        df.select(*keys, F.inline(F.array(*listed)))
+        .groupBy(*group, VALUE)
+        .agg(F.count(F.lit(1)).alias("__rows"))
+    )
+    order = [*group, F.desc_nulls_first(VALUE)]
+    staged = stage_in_order(values, order, scratch, "ranks")
+
+    pieces = staged.groupBy(PART, *group).agg(
+        F.sum("__rows").alias("__rows"), F.min(INDEX).alias(INDEX)
+    )
+    pieces = scratch.stage(pieces, "rank-pieces")
+    earlier = Window.partitionBy(PART).orderBy(INDEX).rowsBetween(Window.unboundedPreceding, -1)
+    rows_before = F.coalesce(F.sum("__rows").over(earlier), F.lit(0))
+    # A group's better rows begin with its first partition; a piece may be a later one.
+    offsets = F.broadcast(offsets_before(pieces, F.sum("__rows")))
+    placed = pieces.join(offsets, PART).select(
+        PART, *group, (F.col(BEFORE) + rows_before).alias("__at"), F.col(BEFORE)
+    )
+    # A group has at most as many pieces as there are partitions.
+    start = F.min("__at").over(Window.partitionBy(*group))
+    shifts = placed.select(PART, *group, (F.col(BEFORE) - start + 1).alias("__shift"))
+    better = F.coalesce(F.sum("__rows").over(earlier), F.lit(0))
+    counted = staged.select(*group, VALUE, PART, better.alias("__better"))
+    return attach(counted, shifts, [PART, *group]).select(
+        *group, VALUE, (F.col("__better") + F.col("__shift")).alias("__rank")
+    )
+
+
+def _common_type(df: DataFrame, columns: Sequence[str]) -> str:
+    """The type that holds all the columns' values without loss."""
+    return df.select(F.coalesce(*columns).alias("v")).schema["v"].dataType.simpleString()
 
 
 def _all(conditions) -> Column:

@@ -29,7 +29,7 @@ from watchledger.functions import (
     recency_status,
 )
 from watchledger.functions.amounts import cents
-from watchledger.operators.groups import attach, rank_in_group
+from watchledger.operators.groups import attach, ranks_in_group
 from watchledger.scratch import Scratch
 from watchledger.settings import Settings
 
@@ -119,13 +119,9 @@ def course_months(
         },
         customers={"unique_students": F.lit(True), "students_1plus_hours": engaged},
     )
-    ranked = scratch.stage(per_course, "course-months")
-    for metric, name in (
-        ("total_revenue", "revenue_rank"),
-        ("unique_students", "popularity_rank"),
-    ):
-        ranked = rank_in_group(ranked, ["month"], metric, name, scratch)
-    return ranked
+    metrics = {"revenue_rank": "total_revenue", "popularity_rank": "unique_students"}
+    staged = scratch.stage(per_course, "course-months")
+    return ranks_in_group(staged, ["month"], metrics, scratch)
 
 
 def view_course_revenue_monthly(months: DataFrame) -> DataFrame:
