@@ -7,7 +7,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from watchledger.plans import build
+from watchledger.plans import build, dimensions
+from watchledger.plans.history import PARTS, customer_history
 from watchledger.settings import Settings
 from watchledger.sources import (
     full_refresh,
@@ -118,7 +119,7 @@ def test_loads_follow_one_another_in_one_warehouse(spark, tmp_path):
         build.build_warehouse(spark, broken, out, day + dt.timedelta(1))
     # The failed load is not complete, and the one before is as it was.
     assert len(build.loads(spark, out)) == 1
-    assert table_ref(spark, f"{build.loads(spark, out)[-1]}/snap_customer").count() == 2
+    assert customer_history(spark, build.loads(spark, out)[-1]).count() == 2
 
     later = build.build_warehouse(spark, changed, out, day + dt.timedelta(2))
     assert versions(later) == [(1, "150.00", False), (1, "175.00", True), (2, "12.00", True)]
@@ -131,6 +132,40 @@ def test_loads_follow_one_another_in_one_warehouse(spark, tmp_path):
     assert versions(first) == [(1, "150.00", True), (2, "12.00", True)]
 
 
+def test_loads_out_of_order_are_refused(spark, tmp_path):
+    out, day = str(tmp_path / "out"), dt.datetime(2022, 11, 1)
+    raw = seeds(spark, tmp_path, "s")
+    build.build_warehouse(spark, raw, out, day)
+    for when in (day - dt.timedelta(1), day - dt.timedelta(seconds=1)):
+        with pytest.raises(ValueError, match="comes before"):
+            build.build_warehouse(spark, raw, out, when)
+    assert len(list((tmp_path / "out").iterdir())) == 1
+
+
+def test_closed_versions_are_written_once_and_read_by_readers_only(spark, tmp_path, monkeypatch):
+    """Three loads; the third merges with the open versions of the second alone."""
+    out, day = str(tmp_path / "out"), dt.datetime(2022, 11, 1)
+    merged, merge = [], dimensions.scd2_merge
+
+    def watched(load, prior, **how):
+        merged.append(prior.inputFiles() if prior is not None else [])
+        return merge(load, prior, **how)
+
+    monkeypatch.setattr(dimensions, "scd2_merge", watched)
+    for i, spent in enumerate(("150.00", "160.00", "170.00")):
+        rows = [["1", "05/10/22 13:45", "", spent], ["2", "", "", "12.00"]]
+        raw = seeds(spark, tmp_path, f"s{i}", customers=rows)
+        last = build.build_warehouse(spark, raw, out, day + dt.timedelta(i))
+    assert versions(last) == [
+        (1, "150.00", False), (1, "160.00", False), (1, "170.00", True), (2, "12.00", True)
+    ]
+    assert not merged[0] and merged[1] and all("state=open" in f for f in merged[1] + merged[2])
+    closed = sorted(p.parent.parent.name for p in (tmp_path / "out").glob("*/snap_customer/state=closed"))
+    assert closed == ["load-20221102T000000", "load-20221103T000000"]
+    own = spark.read.parquet(f"{last.folder}/snap_customer/state=closed")
+    assert [str(r.total_spent) for r in own.collect()] == ["160.00"]
+
+
 def test_history_that_would_be_replaced_is_refused(spark, tmp_path):
     out, day = str(tmp_path / "out"), dt.datetime(2022, 11, 1)
     folder = build.load_folder(out, day)
@@ -195,7 +230,7 @@ def test_a_month_filter_reads_that_month_only(built, plan_of):
 def test_a_build_leaves_only_its_tables(built):
     result, base = built
     (load,) = (base / "out").iterdir()
-    assert sorted(p.name for p in load.iterdir()) == sorted([*result.tables, build.TESTS])
+    assert sorted(p.name for p in load.iterdir()) == sorted([*result.tables, build.TESTS, PARTS])
 
 
 @pytest.mark.parametrize("columns", [SEED_COLUMNS["courses"], ["Course Type"]])
@@ -241,6 +276,23 @@ def test_csv_header_is_checked(spark, tmp_path):
         read_csv_seed(spark, str(path), SEED_COLUMNS["courses"]).collect()
 
 
+@pytest.mark.parametrize("rejects", [False, True])
+@pytest.mark.parametrize("rows", [(30, 1), (1, 30)])
+def test_the_header_of_every_file_is_checked(spark, tmp_path, rows, rejects):
+    folder = tmp_path / "x.csv"
+    folder.mkdir()
+    right, swapped = rows
+    lines = ["Course Name,Course Type,Course Instructor"] + ["a,Paid,Ann"] * right
+    (folder / "1.csv").write_text("\n".join(lines) + "\n")
+    lines = ["Course Instructor,Course Name,Course Type"] + ["Bob,b,Free"] * swapped
+    (folder / "2.csv").write_text("\n".join(lines) + "\n")
+    with pytest.raises(Exception, match="header|2.csv"):
+        read_csv_seed(spark, str(folder), SEED_COLUMNS["courses"], rejects=rejects).collect()
+    (folder / "2.csv").write_text("\n".join(["Course Name,Course Type,Course Instructor", "b,Free,Bob"]))
+    both = read_csv_seed(spark, str(folder), SEED_COLUMNS["courses"], rejects=rejects)
+    assert both.count() == right + 1
+
+
 def test_tables_are_replaced_and_views_are_lazy(spark, tmp_path):
     path = str(tmp_path / "t")
     full_refresh(spark.range(5), path)

@@ -128,6 +128,15 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+def test_a_version_that_begins_later_is_refused(spark):
+    kinds = "customer_id long, spent int, paid int"
+    first = spark.createDataFrame([(1, 5, 0)], kinds)
+    prior = merge(first, None, dt.datetime(2022, 6, 1))
+    for when in (dt.datetime(2022, 5, 1), dt.datetime(2022, 6, 1)):
+        with pytest.raises(Exception, match="begins at"):
+            merge(spark.createDataFrame([(1, 6, 0)], kinds), prior, when).collect()
+
+
 def test_history(spark, scratch):
     first = merge(
         spark.createDataFrame(

@@ -23,7 +23,9 @@ def scd2_merge(
     A key whose ``check`` columns differ (null counts as a value) gets its open
     version closed at ``load_time`` and a new one opened. Other columns alone
     change nothing, and a key missing from the load stays open. The load must
-    hold each key once. The result must not be written over ``prior``.
+    hold each key once. The result must not be written over ``prior``. An open
+    version that begins at ``load_time`` or later fails the job: loads come in
+    order, or versions would end before they begin.
     """
     now = F.lit(load_time.isoformat(sep=" ")).cast("timestamp_ntz")
     never = F.lit(None).cast("timestamp_ntz")
@@ -33,7 +35,15 @@ def scd2_merge(
 
     columns = opened.columns
     still_open = F.col(VALID_TO).isNull()
-    old = prior.where(still_open).select(F.struct(*columns).alias("old"))
+    late = F.concat(
+        F.lit(f"the load of {load_time} comes after a version that begins at "),
+        F.col(VALID_FROM).cast("string"),
+    )
+    begun = F.when(F.col(VALID_FROM) < now, F.col(VALID_FROM)).otherwise(
+        F.raise_error(late).cast("timestamp_ntz")
+    )
+    in_order = prior.where(still_open).withColumn(VALID_FROM, begun)
+    old = in_order.select(F.struct(*columns).alias("old"))
     new = opened.select(F.struct(*columns).alias("new"))
     pairs = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
 

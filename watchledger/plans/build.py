@@ -10,19 +10,20 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchledger.plans import dimensions, facts, quality, staging, views
+from watchledger.plans.history import SNAPSHOT, add_versions
 from watchledger.scratch import Scratch
 from watchledger.settings import Settings
 from watchledger.sources.seeds import SEED_COLUMNS, read_csv_seed
 from watchledger.sources.tables import (
     materialize_table,
     materialize_view,
-    table_ref,
     with_audit_times,
 )
 
@@ -116,19 +117,23 @@ def build_warehouse(
 
     ``history`` is the customer history to go on from: that of the last
     complete load by default, or a table from elsewhere, or None to start anew.
-    Earlier loads are only read. A load that is complete is never written again.
+    Earlier loads are only read, and of the history only versions still open. A
+    load that is complete is never written again. Loads come in order: a load time
+    at or before that of a complete load is refused before anything is written.
 
     With ``stop_on_failure`` a failed test raises ``BuildFailed`` and the load
     stays incomplete; otherwise the results are for the caller to look at.
     """
     out = load_folder(warehouse, load_time)
-    complete = loads(spark, warehouse)
-    if any(folder.endswith(out.rsplit("/", 1)[1]) for folder in complete):
+    name, complete = out.rsplit("/", 1)[1], loads(spark, warehouse)
+    names = [folder.rsplit("/", 1)[1] for folder in complete]
+    if name in names:
         raise FileExistsError(f"{out} is a complete load; give another load time")
+    if names and name < names[-1]:
+        raise ValueError(f"{names[-1]} is complete, and {name} comes before it")
     if isinstance(history, str):
-        history = table_ref(spark, f"{complete[-1]}/snap_customer") if complete else None
-    if history is not None:
-        name = out.rsplit("/", 1)[1]
+        history = complete[-1] if complete else None
+    elif history is not None:
         if any(f"/{name}/" in file for file in history.inputFiles()):
             raise ValueError(f"the history lies in {out}, which this build replaces")
     built = Built(folder=out)
@@ -141,14 +146,21 @@ def build_warehouse(
             built.tables[name] = materialize_table(df, f"{out}/{name}", by)
             return built.tables[name]
 
-        customers = staging.stg_customers(raw.customers)
-        orders = staging.stg_orders(raw.orders)
-        courses = staging.stg_courses(raw.courses)
-        consumption = staging.stg_consumption(raw.consumption, raw.month)
+        lazy = {
+            "stg_customers": staging.stg_customers(raw.customers),
+            "stg_orders": staging.stg_orders(raw.orders),
+            "stg_courses": staging.stg_courses(raw.courses),
+            "stg_consumption": staging.stg_consumption(raw.consumption, raw.month),
+        }
+        # Raw text is read once here; facts and tests read what was stored.
+        staged = dict(zip(lazy, _side_by_side(
+            spark, *[partial(scratch.stage, df, name) for name, df in lazy.items()]
+        )))
+        customers, orders, courses, consumption = staged.values()
 
         def customer_dimension() -> DataFrame:
-            versions = dimensions.snap_customer(customers, history, load_time)
-            snapshot = store("snap_customer", versions, audit=False)
+            snapshot = add_versions(spark, customers, out, load_time, history)
+            built.tables[SNAPSHOT] = snapshot
             dim = dimensions.dim_customer(snapshot, scratch)
             return store("dim_customer", dim)
 
@@ -184,33 +196,31 @@ def build_warehouse(
             views.course_months(attribution, dim_course, settings, scratch),
             audit=False,
         )
-    built.views = {
-        "stg_customers": customers,
-        "stg_orders": orders,
-        "stg_courses": courses,
-        "stg_consumption": consumption,
-        **analytics_views(
-            attribution,
-            fact_order,
-            fact_consumption,
-            dim_course,
-            dim_customer,
-            months,
-            settings,
-        ),
-    }
+        built.views = {
+            **lazy,
+            **analytics_views(
+                attribution,
+                fact_order,
+                fact_consumption,
+                dim_course,
+                dim_customer,
+                months,
+                settings,
+            ),
+        }
+        tested = {**built.tables, **built.views, **staged}
+        results = quality.build_tests(tested).coalesce(1)
+        if stop_on_failure:
+            results = results.cache()
+            failed = [f"{r.kind} {r.model}.{r.column}" for r in results.where("not passed").collect()]
+            if failed:
+                results.unpersist()
+                raise BuildFailed("; ".join(sorted(failed)))
+        built.tests = materialize_table(results, f"{out}/{TESTS}")
     built.checks = quality.revenue_checks(attribution)
     built.unparsed_dates = quality.unparsed_dates(
         {"customers": raw.customers, "orders": raw.orders}
     )
-    results = quality.build_tests({**built.tables, **built.views}).coalesce(1)
-    if stop_on_failure:
-        results = results.cache()
-        failed = [f"{r.kind} {r.model}.{r.column}" for r in results.where("not passed").collect()]
-        if failed:
-            results.unpersist()
-            raise BuildFailed("; ".join(sorted(failed)))
-    built.tests = materialize_table(results, f"{out}/{TESTS}")
     if as_views:
         for name, df in {**built.tables, **built.views}.items():
             materialize_view(df, name)

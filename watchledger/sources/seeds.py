@@ -46,8 +46,10 @@ def read_csv_seed(
 ) -> DataFrame:
     """Read a headed CSV with every column as text; staging casts later.
 
-    The header is checked against ``columns``, quotes are doubled inside quoted
-    fields, and surrounding blanks are kept for staging to trim.
+    The header of every file is checked against ``columns``: one file's at once,
+    each file's when it is read, and a file with another header fails that job.
+    Quotes are doubled inside quoted fields, and surrounding blanks are kept for
+    staging to trim.
 
     A record with a field too many or too few fails the job that reads it, even
     if only other columns are asked for; with ``rejects`` such records get
@@ -60,8 +62,8 @@ def read_csv_seed(
     schema = T.StructType([*texts, T.StructField(REJECTED, T.StringType())])
     options = {
         "header": True,
-        # The header has no reject column; it is compared below.
-        "enforceSchema": True,
+        # Compares each file's header with the schema, less the reject column.
+        "enforceSchema": False,
         "escape": '"',
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": REJECTED,
@@ -90,7 +92,7 @@ def read_csv_seed(
 def _check_header(
     spark: SparkSession, path: str, columns: Sequence[str], multiline: bool
 ) -> None:
-    """Every file's first record must be the header; blanks and case count."""
+    """One file's first record must be the header; blanks and case count."""
     headers = spark.read.csv(path, header=True, escape='"', multiLine=multiline).columns
     if headers != list(columns):
         raise RaggedSeed(f"the header of {path} is {headers}, not {list(columns)}")
