@@ -85,7 +85,7 @@ class BuildFailed(RuntimeError):
     """Tests failed in a build that was told to stop then."""
 
 
-def loads(spark: SparkSession, warehouse: str) -> list[str]:
+def loads(spark: SparkSession, warehouse: str, last: str = TESTS) -> list[str]:
     """Folders of the complete loads of a warehouse, oldest first.
 
     A load is complete once its last table, the results of its tests, is
@@ -93,12 +93,21 @@ def loads(spark: SparkSession, warehouse: str) -> list[str]:
     load before.
     """
     jvm = spark.sparkContext._jvm
-    done = jvm.org.apache.hadoop.fs.Path(f"{warehouse}/load-*/{TESTS}/_SUCCESS")
+    done = jvm.org.apache.hadoop.fs.Path(f"{warehouse}/load-*/{last}/_SUCCESS")
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     found = done.getFileSystem(conf).globStatus(done) or []
     return sorted(status.getPath().getParent().getParent().toString() for status in found)
 
 
+def refuse_out_of_order(name: str, complete: list[str]) -> None:
+    """Fail if a load by this name would not come after all complete ones."""
+    names = [folder.rsplit("/", 1)[1] for folder in complete]
+    if name in names:
+        raise FileExistsError(f"{name} is a complete load; give another load time")
+    if names and name < names[-1]:
+        raise ValueError(f"{names[-1]} is complete, and {name} comes before it")
+
+
 def load_folder(warehouse: str, load_time: dt.datetime) -> str:
     return f"{warehouse.rstrip('/')}/load-{load_time:%Y%m%dT%H%M%S}"
 
@@ -126,11 +135,7 @@ def build_warehouse(
     """
     out = load_folder(warehouse, load_time)
     name, complete = out.rsplit("/", 1)[1], loads(spark, warehouse)
-    names = [folder.rsplit("/", 1)[1] for folder in complete]
-    if name in names:
-        raise FileExistsError(f"{out} is a complete load; give another load time")
-    if names and name < names[-1]:
-        raise ValueError(f"{names[-1]} is complete, and {name} comes before it")
+    refuse_out_of_order(name, complete)
     if isinstance(history, str):
         history = complete[-1] if complete else None
     elif history is not None:

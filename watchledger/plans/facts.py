@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchledger.functions import (
@@ -51,28 +51,35 @@ def fact_order(
     total_order = ["order_id", "order_created_at", "customer_id", "order_number"]
     keyed = number_rows(placed, total_order, scratch, "order_key")
 
-    text = F.col("line_items")
-    plan = first_match(text, TYPE_WORDS)
-    net = F.col("net_usd")
-    monthly = F.when(plan == "YEARLY", amortize_monthly(net)).otherwise(net)
     return keyed.select(
         "order_key",
         "order_id",
         "order_number",
         "customer_key",
+        *plan_columns(),
+        (F.col("order_sequence") == 1).alias("is_first_order"),
+        "is_latest_order",
+        "order_sequence",
+    )
+
+
+def plan_columns() -> list[Column]:
+    """What a staged order says of its date, product, plan and value."""
+    text = F.col("line_items")
+    plan = first_match(text, TYPE_WORDS)
+    net = F.col("net_usd")
+    monthly = F.when(plan == "YEARLY", amortize_monthly(net)).otherwise(net)
+    return [
         date_key(F.col("order_created_at")).alias("date_key"),
-        "order_created_at",
-        "line_items",
+        F.col("order_created_at"),
+        text,
         F.col("billing_address_country").alias("billing_country"),
         plan.alias("subscription_type"),
         first_match(text, TIER_WORDS).alias("subscription_tier"),
         first_match(text, INTERVAL_WORDS).alias("subscription_interval_months"),
         net.alias("net_amount_usd"),
         monthly.cast(MONEY).alias("monthly_value"),
-        (F.col("order_sequence") == 1).alias("is_first_order"),
-        "is_latest_order",
-        "order_sequence",
-    )
+    ]
 
 
 def minutes_by_keys(

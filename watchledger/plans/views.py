@@ -277,11 +277,17 @@ def _per_course(
     totals: dict[str, Column],
     customers: dict[str, Column],
 ) -> DataFrame:
-    """Additive totals, and customers that meet a condition, per course and month."""
+    """Additive totals, and customers that meet a condition, per course and month.
+
+    Rows are grouped by a key for the title, the least of its course keys. The
+    texts of the title join what is left.
+    """
     titles = courses.select("course_key", *TITLE)
-    keys = titles.groupBy(*TITLE).agg((F.count(F.lit(1)) > 1).alias("shared"))
-    known = attach(titles, keys, TITLE)
-    group = ["month", *TITLE]
+    keys = titles.groupBy(*TITLE).agg(
+        F.min("course_key").alias("title_key"), (F.count(F.lit(1)) > 1).alias("shared")
+    )
+    known = attach(titles, keys, TITLE).select("course_key", "title_key", "shared")
+    group = ["month", "title_key"]
     named = fact.withColumnRenamed(month, "month").join(known, "course_key")
     # The customer is in the key only where one may meet a title twice.
     rows = named.withColumn("who", F.when(F.col("shared"), F.col("customer_key")))
@@ -291,7 +297,10 @@ def _per_course(
         counted[name] = F.when(F.col("shared"), once).otherwise(F.count_if(met))
     per_customer = _aggregate(rows, [*group, "shared", "who"], totals | counted)
     again = {name: F.sum(name) for name in [*totals, *counted]}
-    return _aggregate(per_customer, group, again)
+    per_title = _aggregate(per_customer, group, again)
+    return per_title.join(keys.drop("shared"), "title_key").select(
+        "month", *TITLE, *totals, *counted
+    )
 
 
 def _aggregate(

@@ -42,8 +42,9 @@ class Commerce:
             self._readers[name] = self.spark.read.parquet(path)
         return self._readers[name]
 
-    def orders(self) -> DataFrame:
-        orders, customer = self.table("orders"), self.table("customer")
+    def orders(self, since: dt.date | None = None, before: dt.date | None = None) -> DataFrame:
+        """Orders of all days, or of those from ``since`` on and ``before`` another."""
+        orders, customer = _between(self.table("orders"), since, before), self.table("customer")
         nation = self.table("nation")
         key, price = F.col("o_orderkey"), F.col("o_totalprice")
         product = F.lit(OTHER_PRODUCT)
@@ -109,9 +110,9 @@ class Commerce:
             F.col("p_brand").alias("Course Instructor"),
         )
 
-    def consumption(self) -> DataFrame:
-        """Watch rows of all months, with the month as an extra column."""
-        lines, orders = self.table("lineitem"), self.table("orders")
+    def consumption(self, since: dt.date | None = None, before: dt.date | None = None) -> DataFrame:
+        """Watch rows of all months, or some, with the month as an extra column."""
+        lines, orders = self.table("lineitem"), _between(self.table("orders"), since, before)
         part = self.table("part")
         watched = lines.join(
             orders, F.col("l_orderkey") == F.col("o_orderkey")
@@ -125,6 +126,15 @@ class Commerce:
         )
 
 
+def _between(orders: DataFrame, since: dt.date | None, before: dt.date | None) -> DataFrame:
+    day = F.col("o_orderdate")
+    if since is not None:
+        orders = orders.where(day >= F.lit(since.isoformat()).cast("timestamp_ntz"))
+    if before is not None:
+        orders = orders.where(day < F.lit(before.isoformat()).cast("timestamp_ntz"))
+    return orders
+
+
 def _title() -> Column:
     return F.concat("p_name", F.lit(" #"), F.col("p_partkey").cast("string"))
 

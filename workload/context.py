@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import datetime as dt
 from functools import cached_property
 
 from pyspark import SparkContext
@@ -10,13 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from watchledger.plans import dimensions, facts, staging, views
+from watchledger.plans import dimensions, facts, incremental, staging, views
 from watchledger.plans.build import Raw
 from watchledger.plans.quality import NOT_NULL_COLUMNS
 from watchledger.scratch import Scratch
 from watchledger.settings import Settings
 from watchledger.sources.commerce import AS_OF, FIRST_LOAD, SECOND_LOAD, Commerce
 
+#: From when on the second load sends orders, and whole months, once more.
+ORDERS_AGAIN, MONTHS_AGAIN = dt.date(1998, 11, 15), dt.date(1998, 12, 1)
+
 _contexts: dict[tuple[str, str], "Context"] = {}
 
 
@@ -137,6 +141,29 @@ class Context:
     def view_course_revenue_monthly(self) -> DataFrame:
         return views.view_course_revenue_monthly(self.course_months)
 
+    @cached_property
+    def increments(self) -> list[incremental.Load]:
+        """Two loads into one warehouse; the second brings some months again."""
+        out = self.scratch.folder("increments")
+        early = Raw(
+            customers=self.raw.customers(before=FIRST_LOAD),
+            orders=self.raw.orders(before=FIRST_LOAD.date()),
+            courses=self.raw.courses(),
+            consumption=self.raw.consumption(before=FIRST_LOAD.date()),
+            month=F.col("month"),
+        )
+        late = Raw(
+            customers=self.raw.customers(),
+            orders=self.raw.orders(since=ORDERS_AGAIN),
+            courses=self.raw.courses(),
+            consumption=self.raw.consumption(since=MONTHS_AGAIN),
+            month=F.col("month"),
+        )
+        return [
+            incremental.add_load(self.spark, raw, out, when, self.settings)
+            for raw, when in ((early, FIRST_LOAD), (late, SECOND_LOAD))
+        ]
+
     def model_tables(self) -> dict[str, DataFrame]:
         """What the tests of a build look at."""
         return {name: self.tables[name] for name in NOT_NULL_COLUMNS}
