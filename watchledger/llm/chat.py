@@ -14,7 +14,8 @@ Defined cases: a null role or text is empty; null turn numbers come first. A
 turn without a conversation id belongs to no conversation. Conversations that
 are equal are a tie: the prompt holds all turns and the completions are empty. A
 pair of which one side has no turns has an empty prompt. Repeated rows are turns
-of their own. Only the named columns are read.
+of their own. Only the named columns are read; other columns are kept, and a result
+whose name is taken gets underscores in front. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,11 +23,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from watchledger.llm.common import let
+from watchledger.llm.common import free_name, let
 
 ASSISTANT = "assistant"
 END = "<|end|>"
 _SPANS = "array<struct<start:int,end:int>>"
+FORMATTED = (
+    "prompt_turns", "prompt", "chosen", "chosen_mask", "rejected", "rejected_mask", "is_tie",
+)
 
 
 def conversations(turns: DataFrame, id_column: str = "conv_id") -> DataFrame:
@@ -114,16 +118,21 @@ def format_preferences(
             ((F.size(a) == shared) & (F.size(b) == shared)).alias("is_tie"),
         )
 
-    others = [F.col(f"`{c}`") for c in pairs.columns if c not in (chosen, rejected)]
-    made = let(common_prefix(a, b), formatted)
-    return pairs.select(*others, F.explode(F.array(made)).alias("made")).select(*others, "made.*")
+    kept = [c for c in pairs.columns if c not in (chosen, rejected)]
+    others = [F.col(f"`{c}`") for c in kept]
+    made, name = let(common_prefix(a, b), formatted), free_name(kept, "made")
+    whole = pairs.select(*others, F.explode(F.array(made)).alias(name))
+    # A column that has a result's name stays, and the result gets a free one.
+    results = [F.col(f"`{name}`.{f}").alias(free_name(kept, f)) for f in FORMATTED]
+    return whole.select(*others, *results)
 
 
 def stale_answers(conversations_: DataFrame) -> DataFrame:
     """Pairs of each conversation and a worse one derived from it.
 
     The worse one gives its last answer's turn the text of the answer before,
-    or no text if there is none. Without any answer both sides are equal.
+    or no text if there is none. Without any answer both sides are equal. Columns
+    called like the two sides give way to them.
     """
     turns = F.col("turns")
 
@@ -145,7 +154,9 @@ def stale_answers(conversations_: DataFrame) -> DataFrame:
         )
         return F.when(F.size(at) > 0, changed).otherwise(turns)
 
-    others = [F.col(f"`{c}`") for c in conversations_.columns if c != "turns"]
+    others = [
+        F.col(f"`{c}`") for c in conversations_.columns if c not in ("turns", "chosen", "rejected")
+    ]
     return conversations_.select(
         *others, turns.alias("chosen"), let(answers(turns), worse).alias("rejected")
     )
