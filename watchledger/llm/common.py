@@ -57,18 +57,64 @@ def ship_package(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(archive))
 
 
-#: A table of ids or digests with at most so many rows, some 60 MB, is sent to
-#: all tasks rather than shuffling texts to it.
-BROADCAST_ROWS = 1_000_000
+#: Classifiers learn from about so many labelled rows, some 12 MB, at most.
+LABEL_ROWS = 1 << 18
+_SHARES = 1 << 30
 
 
-def sent_if_small(stored: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored table of narrow rows, marked for broadcast if it has few.
+def label_sample(stored: DataFrame, rows: int = LABEL_ROWS) -> DataFrame:
+    """A stored table of training labels, or about ``rows`` of them by a hash of the id.
 
-    The rows are counted from the files' footers. Beyond the bound the join
-    shuffles both sides; it gives the same rows.
+    The bound holds for the broadcast that takes the labels to the texts, so that
+    no text is shuffled to its label, however many labels there are.
     """
-    return F.broadcast(stored) if stored.count() <= rows else stored
+    count = stored.count()
+    share = _SHARES if count <= rows else _SHARES * rows // count
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(_SHARES)) < share
+    return F.broadcast(stored.where(drawn))
+
+
+#: Positions of a key filter and bits per bitmap; 2^26 positions are 8 MB.
+FILTER_BITS = 26
+_BITMAP = 1 << 15
+
+
+class KeyFilter:
+    """A bitmap of hashed binary keys, of fixed size however many keys there are.
+
+    Keys that are there are always found; others at a rate that grows with the
+    number of keys. So texts without a hit need no join, and only the others are
+    shuffled to the keys themselves.
+    """
+
+    def __init__(self, keys: DataFrame, key: str, scratch: Scratch):
+        at = self._at(F.col(key)).alias("at")
+        maps = (
+            keys.select(at)
+            .groupBy(F.call_function("div", F.col("at"), F.lit(_BITMAP)).alias("part"))
+            .agg(
+                F.call_function(
+                    "bitmap_construct_agg", F.col("at") % _BITMAP
+                ).alias("bitmap")
+            )
+        )
+        self.maps = scratch.stage(maps, "key-filter")
+
+    @staticmethod
+    def _at(key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(1 << FILTER_BITS))
+
+    def mark(self, df: DataFrame, key: str, name: str) -> DataFrame:
+        """``df`` with a column that is true where the key may be there."""
+        part, bitmap = (free_name(df.columns, n) for n in ("filter_part", "filter_bitmap"))
+        maps = F.broadcast(self.maps.select(F.col("part").alias(part), F.col("bitmap").alias(bitmap)))
+        at = self._at(F.col(key))
+        keyed = df.withColumn(part, F.call_function("div", at, F.lit(_BITMAP)))
+        bit = (at % _BITMAP).cast("int")
+        byte = F.conv(F.hex(F.substring(F.col(bitmap), F.call_function("div", bit, F.lit(8)).cast("int") + 1, F.lit(1))), 16, 10)
+        hit = F.call_function("getbit", byte.cast("int"), bit % 8) == 1
+        marked = keyed.join(maps, part, "left")
+        return marked.withColumn(name, F.coalesce(hit, F.lit(False))).drop(part, bitmap)
 
 
 def free_name(taken: list[str], name: str) -> str:

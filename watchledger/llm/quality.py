@@ -8,8 +8,9 @@ scaled indicators, at unit length, go to a linear hinge-loss model that is fit
 by dual coordinate descent. A logistic curve on margins of documents that the
 model has not seen turns margins into scores.
 
-The class counts cover every labelled training row: each task adds up its own
-and sends at most one row per place. The support vectors are fit on at most
+The class counts cover every labelled training row, or about ``LABEL_ROWS`` of them
+by a hash of the id where there are more; each task adds up its own and sends at
+most one row per place. The support vectors are fit on at most
 ``FIT_ROWS`` training rows, those with the smallest hashes of their ids, in one
 task. A model has a fixed size, so it is sent to all tasks whole.
 
@@ -35,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchledger.llm.common import free_name, held_out, scratch_for, sent_if_small, ship_package
+from watchledger.llm.common import LABEL_ROWS, free_name, held_out, label_sample, scratch_for, ship_package
 from watchledger.scratch import Scratch
 
 BITS = 18
@@ -261,15 +262,16 @@ def train(
     labels: DataFrame,
     fit_rows: int = FIT_ROWS,
     scratch: Scratch | None = None,
+    label_rows: int = LABEL_ROWS,
 ) -> Model:
-    """Learn from the labelled documents that are not held out."""
+    """Learn from labelled documents that are not held out, about ``label_rows``."""
     spark = docs.sparkSession
     ship_package(spark)
     scratch = scratch_for(spark, scratch)
     known = scratch.stage(training_labels(labels), "training-labels")
     texts = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
     counts = np.zeros((2, PLACES + 1))
-    found = class_counts(texts.join(sent_if_small(known), "doc_id")).toPandas()
+    found = class_counts(texts.join(label_sample(known, label_rows), "doc_id")).toPandas()
     counts[1, found["place"]], counts[0, found["place"]] = found["good"], found["poor"]
     constant = Model(np.zeros(PLACES, np.float32), np.zeros(PLACES, np.float32), 0.0, 0.0, 0.0, True)
     if not counts[:, PLACES].all():

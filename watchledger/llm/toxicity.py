@@ -10,7 +10,8 @@ fit, those come from models that have not seen the row (out of fold), so that it
 does not learn to trust probabilities that are better than they will be.
 
 Features are chosen by their chi-square statistic with any category, counted over
-all labelled training rows. The models are fit on at most ``FIT_ROWS`` of those
+all labelled training rows, or about ``LABEL_ROWS`` of them by a hash of the id
+where there are more. The models are fit on at most ``FIT_ROWS`` of those
 rows, the ones with the smallest hashes of their ids, in one task. Vocabulary
 and models have fixed sizes, so they are sent to all tasks whole.
 
@@ -33,7 +34,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from watchledger.llm.common import free_name, held_out, scratch_for, sent_if_small, ship_package
+from watchledger.llm.common import (
+    LABEL_ROWS,
+    free_name,
+    held_out,
+    label_sample,
+    scratch_for,
+    ship_package,
+)
 from watchledger.scratch import Scratch
 
 VOCABULARY = 1000
@@ -210,6 +218,7 @@ def choose_words(
     size: int,
     least: int,
     scratch: Scratch,
+    label_rows: int = LABEL_ROWS,
 ) -> list[str]:
     """The words whose texts differ most from others in some category.
 
@@ -234,7 +243,7 @@ def choose_words(
     schema = "word string, " + ", ".join(f"{n} long" for n in names)
     counted = (
         docs.select("doc_id", "text")
-        .join(sent_if_small(known), "doc_id")
+        .join(label_sample(known, label_rows), "doc_id")
         .select("text", *categories)
         .mapInPandas(run, schema)
         .groupBy("word")
@@ -269,6 +278,7 @@ def train(
     least_texts: int = LEAST_TEXTS,
     fit_rows: int = FIT_ROWS,
     scratch: Scratch | None = None,
+    label_rows: int = LABEL_ROWS,
 ) -> Chain:
     """Learn the categories, in their order, from rows that are not held out."""
     spark = docs.sparkSession
@@ -277,7 +287,7 @@ def train(
     scratch = scratch_for(spark, scratch)
     known = scratch.stage(known_categories(labels, categories), "training-labels")
     texts = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
-    words = choose_words(texts, known, names, vocabulary, least_texts, scratch)
+    words = choose_words(texts, known, names, vocabulary, least_texts, scratch, label_rows)
     empty = Chain(names, {w: i for i, w in enumerate(words)}, ())
     shared = spark.sparkContext.broadcast(empty)
     chosen = known.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(fit_rows)
