@@ -11,11 +11,14 @@ base 64. Windows that lie within a run of hexadecimal digits have their
 threshold, wherever in the candidate the run is; so a name or path glued to a
 key does not hide it. The entropy of a window of ``w`` characters is
 ``log2(w) - S / w`` with ``S`` the sum of ``c * log2(c)`` over the counts ``c``
-of its characters. Moving on by one character changes two counts, so ``S`` is
-updated by two differences and not summed again. A candidate with a window that
+of its characters. Counts and ``S`` are carried from window to window: moving on by
+one character changes two counts, and ``S`` by two differences. A candidate with a window that
 reaches its class's threshold is a span, unless the allow-list has the candidate
 or the run.
 
+Time and memory grow in proportion to a text: lists that grow match by match are
+built in blocks, and a text is cut into blocks before pieces are taken out of it.
+
 Defined cases: a null or empty text has no spans and hashes the empty string.
 Rows are judged one by one, so repeats give the same result. Only the text
 column is read; redaction returns the documents' own columns.
@@ -71,6 +74,8 @@ CLASSES = (
 )
 WINDOW = 20
 PLACEHOLDER = "[SECRET]"
+#: Elements of a list, and characters of a text, that are handled together.
+BLOCK, BLOCK_TEXT = 256, 1024
 _SPANS = "array<struct<start:int,kind:int,end:int,hit:string>>"
 
 
@@ -78,68 +83,124 @@ def _no_spans() -> Column:
     return F.array().cast(_SPANS)
 
 
+def _collected(items: Column, step, kind: str) -> Column:
+    """The list that ``step(at, item)`` makes, an (at, made) pair for each item.
+
+    ``made`` is a list of none or a few elements of type ``kind``. Appending copies
+    what is there, so elements are appended within blocks, and blocks to a list.
+    """
+    empty = F.array().cast(f"array<{kind}>")
+
+    def one(state: Column, item: Column) -> Column:
+        return let(
+            step(state["at"], item),
+            lambda made: F.struct(
+                made["at"].alias("at"), F.concat(state["made"], made["made"]).alias("made")
+            ),
+        )
+
+    def block(state: Column, start: Column) -> Column:
+        inside = F.aggregate(
+            F.slice(items, start, F.lit(BLOCK)),
+            F.struct(state["at"].alias("at"), empty.alias("made")),
+            one,
+        )
+        return let(
+            inside,
+            lambda b: F.struct(
+                b["at"].alias("at"), F.concat(state["made"], F.array(b["made"])).alias("made")
+            ),
+        )
+
+    starts = F.when(
+        F.size(items) > 0, F.sequence(F.lit(1), F.size(items), F.lit(BLOCK))
+    ).otherwise(F.array().cast("array<int>"))
+    nothing = F.struct(
+        F.lit(0).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("made")
+    )
+    return F.aggregate(starts, nothing, block)
+
+
 def spans_of(text: Column, pattern: str, kind: str) -> Column:
     """(start, kind, end, hit) of every match; null where there is none."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     # Before each match; what follows the last one is left over by the zip.
     pieces = F.split(text, pattern, -1)
     parts = F.arrays_zip(pieces.alias("piece"), hits.alias("hit"))
-    walked = F.aggregate(
-        parts,
-        F.struct(F.lit(0).alias("at"), _no_spans().alias("found")),
-        lambda state, part: _step(state, part["piece"], part["hit"], kind),
-    )
-    return F.when(text.rlike(pattern), walked["found"])
+    element = _SPANS.removeprefix("array<").removesuffix(">")
+
+    def step(at: Column, part: Column) -> Column:
+        start = at + F.length(part["piece"])
+        end = start + F.coalesce(F.length(part["hit"]), F.lit(0))
+        one = F.struct(
+            start.alias("start"),
+            F.lit(KINDS.index(kind)).alias("kind"),
+            end.alias("end"),
+            part["hit"].alias("hit"),
+        )
+        made = F.when(part["hit"].isNotNull(), F.array(one)).otherwise(_no_spans())
+        return F.struct(end.alias("at"), made.alias("made"))
 
-
-def _step(state: Column, piece: Column, hit: Column, kind: str) -> Column:
-    start = state["at"] + F.length(piece)
-    end = start + F.length(hit)
-    one = F.struct(
-        start.alias("start"),
-        F.lit(KINDS.index(kind)).alias("kind"),
-        end.alias("end"),
-        hit.alias("hit"),
-    )
-    grown = F.struct(end.alias("at"), F.concat(state["found"], F.array(one)).alias("found"))
-    return F.when(hit.isNotNull(), grown).otherwise(state)
+    found = let(parts, lambda p: F.flatten(_collected(p, step, element)["made"]))
+    return F.when(text.rlike(pattern), found)
 
 
 def window_entropy(text: Column, window: int = WINDOW) -> Column:
     """The largest entropy of any window, in bits; of the whole text if shorter."""
-    return let(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: _entropy(c, window))
 
+    def numbered(chars: Column) -> Column:
+        def by_number(symbols: Column) -> Column:
+            codes = F.transform(chars, lambda c: F.array_position(symbols, c).cast("int"))
+            return let(codes, lambda c: _entropy(c, F.size(symbols), window))
 
-def _entropy(chars: Column, window: int) -> Column:
-    width = F.least(F.size(chars), F.lit(window))
-    weighted = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 1)])
+        return let(F.array_distinct(chars), by_number)
+
+    return let(F.filter(F.split(text, ""), lambda c: c != ""), numbered)
 
-    def count(part: Column, char: Column) -> Column:
-        return F.size(F.filter(part, lambda c: c == char))
+
+def _entropy(codes: Column, symbols: Column, window: int) -> Column:
+    """The same for characters given as numbers from 1 to ``symbols``."""
+    width = F.least(F.size(codes), F.lit(window))
+    weighted = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 1)])
 
     def cost(n: Column) -> Column:
         return F.element_at(weighted, n + 1)
 
-    first = F.slice(chars, F.lit(1), width)
-    start = F.aggregate(
-        F.array_distinct(first), F.lit(0.0), lambda sum_, c: sum_ + cost(count(first, c))
+    first = F.slice(codes, F.lit(1), width)
+    counts = F.transform(
+        F.sequence(F.lit(1), symbols), lambda s: F.size(F.filter(first, lambda c: c == s))
     )
 
-    def slide(state: Column, at: Column) -> Column:
-        # The window from ``at`` on loses its first character and gains the one
-        # after its last; ``kept`` is what both windows share.
-        kept = F.slice(chars, at + 1, width - 1)
-        n_out = count(kept, F.element_at(chars, at))
-        n_new = count(kept, F.element_at(chars, at + width))
-        total = state["sum"] - cost(n_out + 1) + cost(n_out) - cost(n_new) + cost(n_new + 1)
-        return F.struct(total.alias("sum"), F.least(state["least"], total).alias("least"))
-
-    steps = F.size(chars) - width
-    slid = F.aggregate(
-        F.sequence(F.lit(1), steps), F.struct(start.alias("sum"), start.alias("least")), slide
-    )
-    least = F.when(steps > 0, slid["least"]).otherwise(start)
-    return F.when(width > 0, F.log2(width.cast("double")) - least / width).otherwise(0.0)
+    def slid(begun: Column) -> Column:
+        start = F.aggregate(begun, F.lit(0.0), lambda total, n: total + cost(n))
+
+        def slide(state: Column, at: Column) -> Column:
+            # The window from ``at`` on loses its first character and gains the
+            # one after its last.
+            gone, new = F.element_at(codes, at), F.element_at(codes, at + width)
+            n_gone = F.element_at(state["counts"], gone)
+            n_new = F.element_at(state["counts"], new)
+            total = state["sum"] - cost(n_gone) + cost(n_gone - 1) - cost(n_new) + cost(n_new + 1)
+            sum_ = F.when(gone == new, state["sum"]).otherwise(total)
+            moved = F.transform(
+                state["counts"],
+                lambda n, i: n
+                + F.when(i + 1 == new, 1).otherwise(0)
+                - F.when(i + 1 == gone, 1).otherwise(0),
+            )
+            return F.struct(
+                F.when(gone == new, state["counts"]).otherwise(moved).alias("counts"),
+                sum_.alias("sum"),
+                F.least(state["least"], sum_).alias("least"),
+            )
+
+        steps = F.size(codes) - width
+        state = F.struct(begun.alias("counts"), start.alias("sum"), start.alias("least"))
+        walked = F.aggregate(F.sequence(F.lit(1), steps), state, slide)
+        return F.when(steps > 0, walked["least"]).otherwise(start)
+
+    entropy = F.log2(width.cast("double")) - let(counts, slid) / width
+    return F.when(width > 0, entropy).otherwise(0.0)
 
 
 def is_random(
@@ -223,25 +284,41 @@ def listed(spans: Column, kinds: Sequence[str] = KINDS) -> Column:
 def redacted(text: Column, spans: Column, placeholder: str = PLACEHOLDER) -> Column:
     """The text with every stretch that spans cover replaced once.
 
-    Spans are in order of start. ``at`` is how far the text is written.
+    Spans are in order of start. Pieces are taken out of blocks of the text, so that
+    no search for a position starts at the text's beginning, and joined once.
     """
-
-    def step(state: Column, span: Column) -> Column:
-        fresh = span["start"] >= state["at"]
-        gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        out = F.when(fresh, F.concat(state["out"], gap, F.lit(placeholder)))
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            out.otherwise(state["out"]).alias("out"),
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK_TEXT}}}"), F.lit(0))
+
+    def written(cut: Column) -> Column:
+        def piece(start: Column, end: Column) -> Column:
+            a, b = (F.call_function("div", x, F.lit(BLOCK_TEXT)).cast("int") for x in (start, end))
+            head = F.coalesce(F.get(cut, a), F.lit(""))
+            tail = F.coalesce(F.get(cut, b), F.lit(""))
+            whole = F.array_join(F.slice(cut, a + 2, F.greatest(b - a - 1, F.lit(0))), "")
+            return F.when(
+                a == b, F.substring(head, start % BLOCK_TEXT + 1, end - start)
+            ).otherwise(
+                F.concat(
+                    F.substring(head, start % BLOCK_TEXT + 1, F.lit(BLOCK_TEXT)),
+                    whole,
+                    F.substring(tail, F.lit(1), end % BLOCK_TEXT),
+                )
+            )
+
+        def step(at: Column, span: Column) -> Column:
+            # ``at`` is how far the text is written.
+            fresh = F.array(piece(at, span["start"]), F.lit(placeholder))
+            made = F.when(span["start"] >= at, fresh).otherwise(F.array().cast("array<string>"))
+            return F.struct(F.greatest(at, span["end"]).alias("at"), made.alias("made"))
+
+        return let(
+            _collected(spans, step, "string"),
+            lambda walked: F.concat(
+                F.array_join(F.flatten(walked["made"]), ""), piece(walked["at"], F.length(text))
+            ),
         )
 
-    written = F.aggregate(
-        spans,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        step,
-        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))),
-    )
-    return F.when(F.size(spans) > 0, written).otherwise(text)
+    return F.when(F.size(spans) > 0, let(blocks, written)).otherwise(text)
 
 
 def redact_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
