@@ -72,3 +72,23 @@ def test_plan_runs_no_python(spark, plan_of):
     df = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
     plan = plan_of(chat.format_preferences(chat.stale_answers(chat.conversations(df))))
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_clashing_columns_repeats_and_empty_tables(spark):
+    """Columns called like results stay; results get names of their own."""
+    rows = [(7, [U, A], [U], "kept", 1, 2)] * 2
+    kinds = f"pair_id long, chosen {TURNS}, rejected {TURNS}, prompt string, made int, is_tie int"
+    df = spark.createDataFrame(rows, kinds)
+    got = chat.format_preferences(df)
+    assert got.columns[:4] == ["pair_id", "prompt", "made", "is_tie"]
+    assert set(got.columns[4:]) == {"_prompt", "prompt_turns", "chosen", "chosen_mask", "rejected", "rejected_mask", "_is_tie"}
+    first, second = got.collect()
+    assert first == second and (first.prompt, first.made, first.is_tie) == ("kept", 1, 2)
+    assert first._prompt == text(U) and first._is_tie is False
+    assert chat.format_preferences(df.limit(0)).collect() == []
+
+
+def test_stale_answers_replace_clashing_sides(spark):
+    df = spark.createDataFrame([(1, [U, A], 5, 6)], f"conv_id long, turns {TURNS}, chosen int, rejected int")
+    assert chat.stale_answers(df).columns == ["conv_id", "chosen", "rejected"]
+    assert chat.format_preferences(chat.stale_answers(df)).first().prompt_turns == 1

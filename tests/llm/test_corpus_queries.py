@@ -29,14 +29,14 @@ def test_query_matches_its_sql(spark, duck, key):
     assert ordered(df.collect(), df.columns) == ordered(found.fetchall(), names)
 
 
-def test_all_ten_are_registered():
+def test_all_thirteen_are_registered():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     without = {k for k in queries.QUERIES if k not in queries.ORACLE}
     assert {k[:3] for k in without} == {"op2", "op4", "op6", "op8"}
 
 
-@pytest.mark.parametrize("key", ["op1_mix_sources", "op5_benchmark_leaks", "op7_secret_scan"])
+@pytest.mark.parametrize("key", ["op1_mix_sources", "op3_chat_preferences", "op5_benchmark_leaks", "op7_secret_scan", "op11_exact_dedup"])
 def test_plan_runs_no_python(spark, plan_of, key):
     plan = plan_of(queries.QUERIES[key](spark, FOLDER))
     assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan

@@ -7,16 +7,22 @@ from pyspark.sql import functions as F
 from watchledger.llm import decontamination
 
 
-def parts(text):
-    words = re.findall(r"[^\W_]+", (text or "").lower())
-    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+def words_of(text):
+    return re.findall(r"[^\W_]+", (text or "").lower())
+
+
+def parts(text, size):
+    words = words_of(text)
+    return {" ".join(words[i : i + size]) for i in range(len(words) - size + 1)}
 
 
 def brute(docs, items, threshold=0.8):
     found = set()
-    for d, text in docs:
-        for i, item in items:
-            need, have = parts(item), parts(text)
+    for i, item in items:
+        size = min(len(words_of(item)), 5)
+        need = parts(item, size) if size else set()
+        for d, text in docs:
+            have = parts(text, size) if size else set()
             if need and len(need & have) >= threshold * len(need) - 1e-9:
                 found.add((d, i, len(need), len(need & have)))
     return found
@@ -82,9 +88,47 @@ def test_empty_tables_and_clashing_columns(spark, documents, prose):
     assert kept.columns == odd.columns and kept.count() == 1
 
 
-def test_a_common_passage_makes_one_candidate_per_text(spark, documents, prose, scratch):
+def test_a_common_passage_is_counted_once_per_text(spark, documents, prose):
     items = items_of(spark, [prose("x", 30)])
     docs = documents([prose("x", 30)] * 500)
-    sketches = decontamination.sketch_items(items).withColumn("item_no", F.lit("i"))
-    assert decontamination.candidates(docs, sketches, 5, scratch).count() == 1
+    assert decontamination.contained_items(docs, items).count() == 1
     assert decontamination.contaminated_documents(docs, items).count() == 500
+
+
+def test_short_items_are_found_inside_long_documents(spark, documents, prose):
+    items = ["zwei", "one two", "a b c", "w x y z", prose("long", 9)]
+    around = prose("around", 3000)
+    texts = [f"{around} {t.upper()}, {around}" for t in items]
+    texts += [around, "one three two", "One - two", "c b a", "x y z", " ".join(items)]
+    docs = documents(texts)
+    got = decontamination.contaminated_documents(docs, items_of(spark, items))
+    rows = {(r.doc_id, r.item_id, r.n_shingles, r.n_found) for r in got.collect()}
+    assert rows == brute(list(enumerate(texts)), list(enumerate(items)))
+    assert {(i, i) for i in range(5)} <= {r[:2] for r in rows}
+
+
+def test_texts_are_read_once_and_not_moved(spark, documents, prose, monkeypatch, plan_of):
+    """What is stored and shuffled are ids, keys and shingles of items."""
+    from watchledger.scratch import Scratch
+
+    staged, stage = {}, Scratch.stage
+
+    def watched(self, df, name):
+        staged[name] = plan_of(df)
+        return stage(self, df, name)
+
+    monkeypatch.setattr(Scratch, "stage", watched)
+    path = documents([prose("x", 40), prose("y", 40)])
+    kept = decontamination.decontaminate(path, items_of(spark, [prose("x", 30)]))
+    assert [r.doc_id for r in kept.collect()] == [1]
+    scans = [p.count("Scan") for n, p in staged.items() if n == "contained"]
+    assert len(scans) == 1 and "text" not in "".join(
+        x for x in staged["contained"].splitlines() if "Exchange" in x
+    )
+
+
+def test_long_documents(spark, documents, prose):
+    items = [prose(f"i{i}", 40) for i in range(50)]
+    text = " ".join([prose("head", 100_000), items[7], prose("tail", 100_000), items[31]])
+    got = decontamination.contaminated_documents(documents([text]), items_of(spark, items))
+    assert sorted(r.item_id for r in got.collect()) == [7, 31]

@@ -1,5 +1,6 @@
 """Secret spans against the standard library's regular expressions."""
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -43,15 +44,19 @@ def entropy(text):
 
 
 def entropy_spans(text):
+    """Candidates with a run of some class that reaches the class's threshold."""
     found = []
     for m in re.finditer(secret_scan.CANDIDATE, text or ""):
         hit = m[0]
         if any(re.fullmatch(p, hit) for p in secret_scan.ALLOW):
             continue
-        best = max(entropy(hit[i : i + 20]) for i in range(max(1, len(hit) - 19)))
-        least = next(c.threshold for c in secret_scan.CLASSES if re.fullmatch(c.pattern, hit))
-        if best >= least:
-            found.append((m.start(), 3, m.end()))
+        runs = [(hit, 3.7)] + [(r, 3.0) for r in re.findall("[0-9A-Fa-f]{20,}", hit)]
+        for run, least in runs:
+            if any(re.fullmatch(p, run) for p in secret_scan.ALLOW):
+                continue
+            if max(entropy(run[i : i + 20]) for i in range(len(run) - 19)) >= least:
+                found.append((m.start(), 3, m.end()))
+                break
     return found
 
 
@@ -107,23 +112,6 @@ def test_empty_repeated_and_clashing(documents):
 GLUED_KEY = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"
 
 
-def run_spans(text):
-    """Candidates with a window that reaches the threshold of its own class."""
-    found = []
-    for m in re.finditer(secret_scan.CANDIDATE, text):
-        hit = m[0]
-        if any(re.fullmatch(p, hit) for p in secret_scan.ALLOW):
-            continue
-        runs = [(hit, 3.7)] + [(r, 3.0) for r in re.findall("[0-9A-Fa-f]{20,}", hit)]
-        for run, least in runs:
-            if any(re.fullmatch(p, run) for p in secret_scan.ALLOW):
-                continue
-            if max(entropy(run[i : i + 20]) for i in range(len(run) - 19)) >= least:
-                found.append((m.start(), 3, m.end()))
-                break
-    return found
-
-
 @pytest.mark.parametrize("size", [20, 32, 40])
 @pytest.mark.parametrize("glue", ["{}", "/{}", "X-{}", "sig={}", "AUTH={}", "{}==", "a/{}-z", "KEY_{}_x"])
 def test_a_hexadecimal_key_is_found_whatever_is_glued_to_it(documents, glue, size):
@@ -142,4 +130,33 @@ def test_glued_texts_match_brute_force_by_run(documents):
     rows = secret_scan.scan_documents(documents(texts)).orderBy("doc_id").collect()
     for row, text in zip(rows, texts):
         got = [(s["start"], s["kind"], s["end"]) for s in row.spans if s["kind"] == 3]
-        assert got == run_spans(text), text
+        assert got == entropy_spans(text), text
+
+
+def long_text(count):
+    """Keys and words, some 22 characters each."""
+    digests = (hashlib.md5(str(i).encode()).hexdigest() for i in range(count))
+    return "".join(d[:20] + (" é " if i % 3 else "\npassword=") for i, d in enumerate(digests))
+
+
+def test_a_text_of_a_megabyte(documents):
+    text = long_text(42_000)
+    assert len(text) > 1_000_000
+    docs = documents([text])
+    (row,) = secret_scan.scan_documents(docs).collect()
+    expected = sorted(base_spans(text) + entropy_spans(text))
+    assert [(s["start"], s["kind"], s["end"]) for s in row.spans] == expected
+    (clean,) = secret_scan.redact_documents(docs).collect()
+    out, at = [], 0
+    for start, _, end in expected:
+        if start >= at:
+            out += [text[at:start], secret_scan.PLACEHOLDER]
+        at = max(at, end)
+    assert clean.text == "".join(out) + text[at:]
+
+
+@pytest.mark.parametrize("length", [1023, 1024, 1025, 2048, 3000])
+def test_redaction_at_the_borders_of_blocks(documents, length):
+    texts = [("é" * length)[:length] + " " + KEY + " " * 1024 + KEY, KEY + " " + "é" * (length - 21), KEY]
+    rows = secret_scan.redact_documents(documents(texts)).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == [t.replace(KEY, secret_scan.PLACEHOLDER) for t in texts]

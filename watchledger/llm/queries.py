@@ -108,7 +108,7 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 _CHAT_SQL = r"""
 with ordered as (
   select conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
-    order by turn, coalesce(role, ''), coalesce(text, '')) as turns
+    order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns
   from conversations where conv_id is not null group by conv_id),
 answered as (
   select conv_id, turns, list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant') as answers
@@ -185,23 +185,27 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 # -- 5 -----------------------------------------------------------------------
 
 _LEAKS_SQL = r"""
-with worded as (
-  select 'd' as side, doc_id as id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as w
+with words as (
+  select 'd' as side, row_number() over () as row_no, doc_id as id,
+    regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as w
   from documents
   union all
-  select 'i', item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') from benchmark),
+  select 'i', row_number() over (), item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')
+  from benchmark),
+sizes as (select distinct least(len(w), 5) as size from words where side = 'i' and len(w) > 0),
 shingled as (
-  select distinct side, id, s from (
-    select side, id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
-      lambda i: array_to_string(w[i:i + 4], ' '))) as s
-    from worded where len(w) > 0)),
-sizes as (select id as item_id, count(*) as n from shingled where side = 'i' group by id),
+  select distinct side, row_no, id, s from (
+    select side, row_no, id, unnest(list_transform(range(1, len(w) - size + 2),
+      lambda i: array_to_string(w[i:i + size - 1], ' '))) as s
+    from words, sizes
+    where len(w) >= size and (side = 'd' or size = least(len(w), 5)))),
+items as (select row_no, id as item_id, count(*) as n from shingled where side = 'i' group by all),
 held as (
-  select d.id as doc_id, i.id as item_id, count(*) as n_found
+  select d.row_no as doc_no, d.id as doc_id, i.row_no as item_no, count(*) as n_found
   from shingled d join shingled i on d.s = i.s and d.side = 'd' and i.side = 'i'
-  group by d.id, i.id)
+  group by all)
 select doc_id, item_id, n as n_shingles, n_found, n_found / n as containment
-from held join sizes using (item_id)
+from held join items on items.row_no = held.item_no
 where n_found >= greatest(ceil(n * 0.8::double - 1e-9), 1)
 """
 
@@ -231,14 +235,14 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
 def _spans_sql(kind: int, pattern: str, keep: str = "true") -> str:
     """Spans of one kind from the pieces between matches and the matches."""
     return rf"""
-  select doc_id, list_filter(list_transform(range(1, len(hits) + 1), lambda i: {{
+  select row_no, doc_id, list_filter(list_transform(range(1, len(hits) + 1), lambda i: {{
       'start': (list_sum(list_transform(pieces[1:i], lambda p: length(p)))
         + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0))::int,
       'kind': {kind},
       'end': (list_sum(list_transform(pieces[1:i], lambda p: length(p)))
         + list_sum(list_transform(hits[1:i], lambda h: length(h))))::int,
       'hit': hits[i]}}), lambda s: {keep}) as spans
-  from (select doc_id, string_split_regex(t, {pattern}) as pieces, regexp_extract_all(t, {pattern}) as hits
+  from (select row_no, doc_id, string_split_regex(t, {pattern}) as pieces, regexp_extract_all(t, {pattern}) as hits
         from whole)"""
 
 
@@ -247,23 +251,25 @@ def _quoted(text: str) -> str:
 
 
 def _secrets_sql() -> str:
-    assign, hit = _quoted(secret_scan.ASSIGN), "s.hit"
+    assign, hit, run = _quoted(secret_scan.ASSIGN), "s.hit", "g"
     candidate = _quoted(secret_scan.CANDIDATE)
-    allowed = " or ".join(
-        f"regexp_full_match({hit}, {_quoted(p)})" for p in secret_scan.ALLOW
-    )
+
+    def allowed(text: str) -> str:
+        return " or ".join(
+            f"regexp_full_match({text}, {_quoted(p)})" for p in secret_scan.ALLOW
+        )
+
     width = secret_scan.WINDOW
     entropy = (
-        f"list_max(list_transform(range(1, greatest(length({hit}) - {width - 1}, 1) + 1),"
-        f" lambda j: list_entropy(string_split(substr({hit}, j, {width}), ''))))"
+        f"list_max(list_transform(range(1, greatest(length({run}) - {width - 1}, 1) + 1),"
+        f" lambda j: list_entropy(string_split(substr({run}, j, {width}), ''))))"
     )
-    least = (
-        "case "
-        + " ".join(
-            f"when regexp_full_match({hit}, {_quoted(c.pattern)}) then {c.threshold}"
-            for c in secret_scan.CLASSES
-        )
-        + " end"
+    # Each run of a class, as if it stood alone; no shorter than a window.
+    random = " or ".join(
+        f"len(list_filter(regexp_extract_all({hit}, {_quoted(c.pattern)}), lambda {run}:"
+        f" length({run}) >= least(length({hit}), {width}) and not ({allowed(run)})"
+        f" and {entropy} >= {c.threshold})) > 0"
+        for c in secret_scan.CLASSES
     )
     kinds = ", ".join(_quoted(k) for k in secret_scan.KINDS)
     joined = f"[{kinds}][s.kind + 1] || ':' || s.start || ':' || s.end"
@@ -272,14 +278,14 @@ def _secrets_sql() -> str:
             _spans_sql(0, assign, f"length(regexp_extract({hit}, {assign}, 2)) >= 12"),
             _spans_sql(1, _quoted(secret_scan.ACCESS)),
             _spans_sql(2, _quoted(secret_scan.HEX)),
-            _spans_sql(3, candidate, f"not ({allowed}) and {entropy} >= {least}"),
+            _spans_sql(3, candidate, f"not ({allowed(hit)}) and ({random})"),
         ]
     )
     return f"""
-with whole as (select doc_id, coalesce(text, '') as t from documents),
+with whole as (select row_number() over () as row_no, doc_id, coalesce(text, '') as t from documents),
 found as ({parts}),
 merged as (
-  select doc_id, list_sort(flatten(list(spans))) as spans from found group by doc_id)
+  select doc_id, list_sort(flatten(list(spans))) as spans from found group by row_no, doc_id)
 select doc_id,
   len(list_filter(spans, lambda s: s.kind = 0)) as n_assign,
   len(list_filter(spans, lambda s: s.kind = 1)) as n_access,
@@ -327,9 +333,12 @@ with usable as (
   where vec_id is not null and embedding is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
   group by vec_id),
+padded as (
+  select vec_id, list_concat(v, list_resize([]::double[], (max(len(v)) over () - len(v))::bigint, 0::double)) as v
+  from usable),
 scored as (
   select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
-  from usable q join usable c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id),
+  from padded q join padded c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id),
 ranked as (
   select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank, vec_id, score
   from scored)
