@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from watchledger.plans import build, dimensions
+from watchledger.plans import ledger
 from watchledger.plans.history import PARTS, customer_history
+from watchledger.plans.ledger import LEDGER, LOAD_TESTS
 from watchledger.settings import Settings
 from watchledger.sources import (
     full_refresh,
@@ -200,6 +202,57 @@ def test_a_failed_test_can_stop_the_build(spark, tmp_path):
     assert failed == {("stg_orders", "order_id"): 1, ("fact_order", "order_id"): 1}
 
 
+def test_the_ledger_is_taken_while_tables_are_written(spark, built):
+    result, _ = built
+    figures = {(r.table_name, r.measure): r.value for r in result.ledger.collect()}
+    assert figures["fact_order", "rows"] == 3 and figures["fact_order", "net_amount_usd"] == 261
+    assert figures["fact_consumption", "total_minutes_consumed"] == 725
+    rows = {(r.table_name, r.measure): r for r in result.ledger.collect()}
+    assert rows["fact_order", "rows"].latest == dt.datetime(2022, 10, 7, 9)
+    assert {r.kind for r in result.load_tests.collect()} == {"volume"}
+    assert all(r.passed for r in result.load_tests.collect())
+
+
+def test_a_spike_fails_and_a_normal_load_does_not(spark):
+    kinds = "load string, table_name string, measure string, value double, latest timestamp_ntz"
+    usual = [("t", "rows", v) for v in (100.0, 104.0, 98.0, 101.0)] + [("u", "rows", 7.0)] * 4
+    earlier = spark.createDataFrame(
+        [(f"load-{i % 4}", t, m, v, None) for i, (t, m, v) in enumerate(usual)], kinds
+    )
+
+    def failed(*values):
+        rows = [("load-9", t, "rows", v, None) for t, v in zip(("t", "u", "new"), values)]
+        own = spark.createDataFrame(rows, kinds)
+        tests = ledger.load_tests(own, earlier, dt.datetime(2022, 11, 1))
+        return {r.model for r in tests.where("not passed").collect()}
+
+    assert failed(103.0, 7.0, 5.0) == set() and failed(120.0, 8.0, 0.0) == set()
+    assert failed(250.0, 7.0, 5.0) == {"t"} and failed(10.0, 12.0, 1e9) == {"t", "u"}
+
+
+def test_stale_sources_warn_and_fail(spark):
+    rows = [("a", dt.datetime(2022, 10, 31)), ("b", dt.datetime(2022, 10, 30, 12)), ("c", dt.datetime(2022, 10, 1)), ("d", None)]
+    latest = spark.createDataFrame(rows, "table_name string, latest timestamp_ntz")
+    hours = [dt.timedelta(hours=h) for h in (24, 48)]
+    got = ledger.freshness(latest, dt.datetime(2022, 11, 1), *hours).collect()
+    assert {r.table_name: (r.age_hours, r.level) for r in got} == {
+        "a": (24, "pass"), "b": (36, "warn"), "c": (744, "error"), "d": (None, "error")
+    }
+
+
+def test_a_stale_source_can_stop_the_build(spark, tmp_path):
+    limits = Settings(warn_after=dt.timedelta(days=1), error_after=dt.timedelta(days=40))
+    raw = build.read_seeds(spark, write(tmp_path / "s", FIRST), limits)
+    out, day = str(tmp_path / "out"), dt.datetime(2022, 11, 1)
+    kept = build.build_warehouse(spark, raw, out, day, limits, stop_on_failure=True)
+    fresh = {(r.model, r.column): r.passed for r in kept.load_tests.where("kind = 'freshness'").collect()}
+    assert fresh["fact_order", "warn"] is False and fresh["fact_order", "error"] is True
+    late = dt.datetime(2023, 1, 1)
+    with pytest.raises(build.BuildFailed, match="freshness fact_order.error"):
+        build.build_warehouse(spark, raw, out, late, limits, stop_on_failure=True)
+    assert len(build.loads(spark, out)) == 1
+
+
 def test_defining_the_views_runs_nothing(spark, built):
     result, _ = built
     t = result.tables
@@ -230,7 +283,9 @@ def test_a_month_filter_reads_that_month_only(built, plan_of):
 def test_a_build_leaves_only_its_tables(built):
     result, base = built
     (load,) = (base / "out").iterdir()
-    assert sorted(p.name for p in load.iterdir()) == sorted([*result.tables, build.TESTS, PARTS])
+    assert sorted(p.name for p in load.iterdir()) == sorted(
+        [*result.tables, build.TESTS, PARTS, LEDGER, LOAD_TESTS]
+    )
 
 
 @pytest.mark.parametrize("columns", [SEED_COLUMNS["courses"], ["Course Type"]])

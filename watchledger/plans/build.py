@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from watchledger.plans import dimensions, facts, quality, staging, views
 from watchledger.plans.history import SNAPSHOT, add_versions
+from watchledger.plans.ledger import LOAD_TESTS, Figures, load_tests, read_ledger, store_figures
 from watchledger.scratch import Scratch
 from watchledger.settings import Settings
 from watchledger.sources.seeds import SEED_COLUMNS, read_csv_seed
@@ -52,6 +53,8 @@ class Built:
     views: dict[str, DataFrame] = field(default_factory=dict)
     checks: DataFrame | None = None
     tests: DataFrame | None = None
+    ledger: DataFrame | None = None
+    load_tests: DataFrame | None = None
     unparsed_dates: DataFrame | None = None
     folder: str = ""
 
@@ -130,6 +133,9 @@ def build_warehouse(
     load that is complete is never written again. Loads come in order: a load time
     at or before that of a complete load is refused before anything is written.
 
+    Each table's figures are compared with those of the loads before, and its latest
+    event with the load time where the settings have limits (``load_tests``).
+
     With ``stop_on_failure`` a failed test raises ``BuildFailed`` and the load
     stays incomplete; otherwise the results are for the caller to look at.
     """
@@ -141,13 +147,13 @@ def build_warehouse(
     elif history is not None:
         if any(f"/{name}/" in file for file in history.inputFiles()):
             raise ValueError(f"the history lies in {out}, which this build replaces")
-    built = Built(folder=out)
+    built, figures = Built(folder=out), Figures()
     with Scratch(spark) as scratch:
 
         def store(
             name: str, df: DataFrame, audit: bool = True, by: str | None = None
         ) -> DataFrame:
-            df = with_audit_times(df) if audit else df
+            df = figures.watch(name, with_audit_times(df) if audit else df)
             built.tables[name] = materialize_table(df, f"{out}/{name}", by)
             return built.tables[name]
 
@@ -215,9 +221,17 @@ def build_warehouse(
         }
         tested = {**built.tables, **built.views, **staged}
         results = quality.build_tests(tested).coalesce(1)
+        built.ledger = store_figures(figures, spark, out)
+        odd = load_tests(
+            built.ledger, read_ledger(spark, complete), load_time,
+            settings.warn_after, settings.error_after,
+        )
+        built.load_tests = materialize_table(odd.coalesce(1), f"{out}/{LOAD_TESTS}")
         if stop_on_failure:
             results = results.cache()
-            failed = [f"{r.kind} {r.model}.{r.column}" for r in results.where("not passed").collect()]
+            errors = built.load_tests.where("column != 'warn'")
+            failing = results.unionByName(errors).where("not passed").collect()
+            failed = [f"{r.kind} {r.model}.{r.column}" for r in failing]
             if failed:
                 results.unpersist()
                 raise BuildFailed("; ".join(sorted(failed)))

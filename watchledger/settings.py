@@ -15,3 +15,6 @@ class Settings:
     as_of: dt.date = dt.date(2022, 10, 1)
     at_risk_days: int = 90
     engaged_minutes: int = 60
+    # How old the latest event may be at a load; without limits it is not tested.
+    warn_after: dt.timedelta | None = None
+    error_after: dt.timedelta | None = None

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from watchledger.plans import revenue
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from watchledger.plans import ledger, revenue
+from watchledger.sources.commerce import SECOND_LOAD
+from workload import models
 from workload.oracle_models import columns, ratio, sql
 from workload.registry import query
 
@@ -297,3 +303,86 @@ def cohort_retention(c):
 )
 def cohort_revenue(c):
     return revenue.cohort_revenue(c.fact_revenue_attribution, c.fact_order)
+
+
+# -- figures of loads ------------------------------------------------------
+
+
+def _figures_sql() -> str:
+    parts = []
+    for name, sums in ledger.SUMS.items():
+        model = "view_course_revenue_monthly" if name == "course_months" else name
+        event = ledger.EVENTS.get(name)
+        latest = f"cast(max({event}) as timestamp)" if event else "cast(null as timestamp)"
+        measures = {"rows": "cast(count(*) as double)"}
+        measures |= {c: f"cast(sum(cast({c} as decimal(38,2))) as double)" for c in sums}
+        parts += [
+            f"select '{name}' as table_name, '{measure}' as measure, {value} as value,"
+            f" strftime({latest}, '%Y-%m-%d %H:%M:%S') as latest from {model}"
+            for measure, value in measures.items()
+        ]
+    return " union all ".join(parts)
+
+
+@query("load_ledger", sql(_figures_sql()))
+def load_ledger(c):
+    return models._built(c).ledger.drop("load")
+
+
+_MONTH_FIGURES = (
+    "select strftime(consumption_month, '%Y-%m-%d') as load, 'fact_consumption' as table_name,"
+    " 'rows' as measure, cast(count(*) as double) as value from fact_consumption group by 1"
+    " union all select strftime(revenue_month, '%Y-%m-%d'), 'fact_revenue_attribution',"
+    " 'attributed_revenue', cast(sum(attributed_revenue) as double) from fact_revenue_attribution group by 1"
+)
+
+
+@query(
+    "volume_spikes",
+    sql(
+        f"select * from (with figures as ({_MONTH_FIGURES}), before as (select f.*, (select list(b.value) from"
+        " (select value from figures e where e.table_name = f.table_name and e.load < f.load"
+        " order by e.load desc limit 30) b) as earlier from figures f),"
+        " centred as (select *, list_median(earlier) as median from before),"
+        " spread as (select *, list_median(list_transform(earlier, lambda x: abs(x - median))) as deviation from centred)"
+        " select load, table_name, measure, value, median, deviation, coalesce(len(earlier) >= 3"
+        " and abs(value - median) > deviation * 5 * 1.4826::double and abs(value - median) > abs(median) * 0.25::double,"
+        " false) as is_spike from spread)"
+    ),
+)
+def volume_spikes(c):
+    """Each month held against the months before, as a load against loads."""
+    months = {
+        "fact_consumption": ("consumption_month", "rows", F.count(F.lit(1))),
+        "fact_revenue_attribution": (
+            "revenue_month", "attributed_revenue", F.sum("attributed_revenue"),
+        ),
+    }
+    found = [
+        c.tables[name]
+        .groupBy(F.date_format(month, "yyyy-MM-dd").alias("load"))
+        .agg(value.cast("double").alias("value"))
+        .select("load", F.lit(name).alias("table_name"), F.lit(measure).alias("measure"), "value")
+        for name, (month, measure, value) in months.items()
+    ]
+    return ledger.volume_spikes(found[0].unionByName(found[1]))
+
+
+@query(
+    "source_freshness",
+    sql(
+        "select table_name, strftime(latest, '%Y-%m-%d %H:%M:%S') as latest, datediff('second', latest,"
+        " timestamp '2001-09-01') // 3600 as age_hours, case when latest is null or"
+        " datediff('second', latest, timestamp '2001-09-01') > 100 * 86400 then 'error'"
+        " when datediff('second', latest, timestamp '2001-09-01') > 30 * 86400 then 'warn' else 'pass' end as level from ("
+        " select 'fact_order' as table_name, max(order_created_at) as latest from fact_order union all"
+        " select 'fact_consumption', cast(max(consumption_month) as timestamp) from fact_consumption union all"
+        " select 'dim_customer', max(first_order_date) from dim_customer)"
+    ),
+)
+def source_freshness(c):
+    figures = models._built(c).ledger.where("measure = 'rows'")
+    events = figures.where(F.col("table_name").isin(*ledger.EVENTS))
+    return ledger.freshness(
+        events, SECOND_LOAD, dt.timedelta(days=30), dt.timedelta(days=100)
+    )
