@@ -73,3 +73,16 @@ def test_empty_table_and_clashing_columns(documents):
     odd = docs.withColumn("_text", F.lit(1)).withColumn("n_tokens", F.lit(2))
     got = token_counts.token_counts(odd, PATH).collect()
     assert [tuple(r) for r in got] == [(0, 3, 2)]
+
+
+def test_only_stretches_with_other_characters_go_to_the_library(monkeypatch):
+    """The rest of their text is cut as usual, and what was seen is not encoded again."""
+    text = "Plain words around 😀 and ΑΒΓ。δ <|endoftext|> more, plain!"
+    special, found = token_counts.pretokens(text, PATH)
+    assert special == 1 and {"😀", "ΑΒΓ。δ"} <= set(found)
+    assert {"plain", "words", "more", "!"} <= set(found)
+    token_counts._cache.clear()
+    assert token_counts.count_tokens([text], PATH, {}) == [library(text)]
+    asked = []
+    monkeypatch.setattr(token_counts, "lengths", lambda texts, path: asked.extend(texts) or [0] * len(texts))
+    assert token_counts.count_tokens([text, text], PATH, {}) == [library(text)] * 2 and asked == []

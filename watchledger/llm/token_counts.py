@@ -13,8 +13,9 @@ pre-token, and the table of frequent ones is encoded by the library too.
 
 Pre-tokens are cut here by the tokenizer's own pattern, spelled out for the
 characters in ``_PLAIN``, for which lower case and the classes of letters and
-numbers are fixed and composing changes nothing. A text with any other
-character goes to the library whole.
+numbers are fixed and composing changes nothing. A stretch between white space with
+any other character is looked up and cached as it stands, and encoded by the library
+where it is not known; the rest of its text is cut as usual.
 
 Defined cases: a null or empty text has 0 bytes and 0 tokens. Special tokens
 within a text count as one token, as the library reads them by default. Rows
@@ -66,8 +67,8 @@ def _plain_class(category: str) -> str:
 
 
 @lru_cache(maxsize=1)
-def _patterns() -> tuple[re.Pattern, re.Pattern]:
-    """(a character that is not plain, a pre-token of lower-cased text)."""
+def _patterns() -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+    """(a character that is not plain, white space, a pre-token of lower-cased text)."""
     plain = "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in _PLAIN)
     letter, number = _plain_class("L"), _plain_class("N")
     space = r"\x09-\x0d\x20\x85\xa0"
@@ -75,7 +76,7 @@ def _patterns() -> tuple[re.Pattern, re.Pattern]:
     token = (
         rf"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{space}{letter}{number}]+"
     )
-    return re.compile(f"[^{plain}]"), re.compile(token)
+    return re.compile(f"[^{plain}]"), re.compile(f"[{space}]+"), re.compile(token)
 
 
 @lru_cache(maxsize=4)
@@ -93,16 +94,24 @@ def _special(path: str) -> re.Pattern:
     return re.compile("|".join(map(re.escape, names)) or r"(?!)")
 
 
-def pretokens(text: str, path: str) -> tuple[int, list[str]] | None:
-    """Special tokens and pre-tokens of a text; None if it is not plain."""
-    odd, token = _patterns()
+def pretokens(text: str, path: str) -> tuple[int, list[str]]:
+    """Special tokens of a text, and its pre-tokens.
+
+    A stretch between white space that has a character outside ``_PLAIN`` is one of
+    them as it stands: no pre-token reaches across white space.
+    """
+    odd, space, token = _patterns()
+    stretches: list[str] = []
     if odd.search(text):
-        return None
+        plain = []
+        for stretch in space.split(text):
+            (stretches if odd.search(stretch) else plain).append(stretch)
+        text = " ".join(plain)
     special = _special(path)
     if not special.search(text):
-        return 0, token.findall(text.lower())
+        return 0, token.findall(text.lower()) + stretches
     pieces = special.split(text)
-    return len(pieces) - 1, [t for p in pieces for t in token.findall(p.lower())]
+    return len(pieces) - 1, [t for p in pieces for t in token.findall(p.lower())] + stretches
 
 
 def lengths(texts: list[str], path: str) -> list[int]:
@@ -120,15 +129,10 @@ def count_tokens(texts: list[str | None], path: str, table: dict[str, int]) -> l
     cache = _cache.setdefault(path, {})
     totals = [0] * len(texts)
     waiting: list[tuple[int, list[str]]] = []
-    whole: list[int] = []
     for i, text in enumerate(texts):
         if not text:
             continue
-        cut = pretokens(text, path)
-        if cut is None:
-            whole.append(i)
-            continue
-        totals[i], found = cut
+        totals[i], found = pretokens(text, path)
         known = list(map(table.get, found))
         if None in known:
             missing = [t for t, n in zip(found, known) if n is None]
@@ -146,8 +150,6 @@ def count_tokens(texts: list[str | None], path: str, table: dict[str, int]) -> l
     if len(cache) + len(fresh) > CACHE_ROWS:
         cache.clear()
     cache.update((t, n) for t, n in fresh.items() if len(t) <= TABLE_CHARS)
-    for i, n in zip(whole, lengths([texts[i] for i in whole], path)):
-        totals[i] = n
     return totals
 
 
@@ -159,9 +161,8 @@ def frequent_lengths(docs: DataFrame, path: str, text: str = "text") -> dict[str
         counts: Counter[str] = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                cut = pretokens(text, path) if text else None
-                if cut is not None:
-                    counts.update(cut[1])
+                if text:
+                    counts.update(pretokens(text, path)[1])
                 if len(counts) > COUNTER_ROWS:
                     counts = Counter(dict(counts.most_common(COUNTER_ROWS // 2)))
         short = ((t, n) for t, n in counts.items() if len(t) <= TABLE_CHARS)
