@@ -115,3 +115,10 @@ def test_empty_table_and_clashing_columns(spark, scratch):
     assert round_trip(pages.limit(0), scratch).collect() == []
     odd = pages.select("*", *[F.lit(9).alias(n) for n in ("payload", "digest", "first_id", "n")])
     assert [r.page_id for r in round_trip(odd, scratch).collect()] == [1]
+
+
+def test_folders_by_scheme(tmp_path):
+    store, path = warc.open_folder(f"file://{tmp_path}")
+    assert store.type_name == "local" and path == str(tmp_path)
+    with pytest.raises(ValueError, match="cannot be kept"):
+        warc.open_folder("ftp://host/archives")

@@ -238,6 +238,27 @@ def assign_records(
     )
 
 
+#: Hadoop's names of stores that the Arrow library calls otherwise.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
+
+
+def open_folder(folder: str) -> tuple[fs.FileSystem, str]:
+    """The store of a folder and the folder's path in it.
+
+    ``file``, ``hdfs`` and ``viewfs`` (with libhdfs on the worker), ``s3``, ``s3a``, ``gs`` and
+    ``abfs`` are understood. Credentials are the worker's own.
+    """
+    scheme, colon, rest = folder.partition(":")
+    if colon and scheme in _SCHEMES:
+        folder = f"{_SCHEMES[scheme]}:{rest}"
+    try:
+        return fs.FileSystem.from_uri(folder)
+    except pa.ArrowInvalid as error:
+        raise ValueError(
+            f"archives cannot be kept at {folder}: use file, hdfs, s3a, gs or abfs"
+        ) from error
+
+
 def write_archives(
     records: DataFrame,
     folder: str,
@@ -252,7 +273,7 @@ def write_archives(
     ship_package(records.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = open_folder(folder)
         out, path, count, size = None, "", 0, 0
 
         def closed() -> pa.RecordBatch:
@@ -296,7 +317,7 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     ship_package(archives.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = fs.FileSystem.from_uri(folder)
+        store, _ = open_folder(folder)
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 with store.open_input_stream(path, compression=None) as source:
