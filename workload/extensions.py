@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from watchledger.plans import ledger, revenue
+from watchledger.plans import calendar, ledger, revenue
 from watchledger.sources.commerce import SECOND_LOAD
 from workload import models
 from workload.oracle_models import columns, ratio, sql
@@ -386,3 +386,59 @@ def source_freshness(c):
     return ledger.freshness(
         events, SECOND_LOAD, dt.timedelta(days=30), dt.timedelta(days=100)
     )
+
+
+# -- calendar --------------------------------------------------------------
+
+_DATES = """
+with ends as (
+  select min(d) as low, max(d) as high from (
+    select cast(order_created_at as date) as d from fact_order union all select consumption_month from fact_consumption)),
+days as (
+  select cast(unnest(generate_series(cast(date_trunc('year', low) as timestamp),
+    cast(make_date(cast(year(high) as bigint), 12, 31) as timestamp), interval 1 day)) as date) as day from ends),
+moons as (
+  select day, year(day) as y, (19 * (year(day) % 19) + year(day) // 100 - year(day) // 400
+    - (8 * (year(day) // 100) + 13) // 25 + 15) % 30 as e from days),
+paschal as (
+  select day, y, cast(make_date(cast(y as bigint), 3, 21) + cast(e - case when e = 29 or (e = 28 and y % 19 > 10)
+    then 1 else 0 end as int) as date) as moon from moons),
+dated as (select day, y, date_diff('day', cast(moon + cast(7 - isodow(moon) % 7 as int) as date), day) as since from paschal)
+select cast(strftime(day, '%Y%m%d') as bigint) as date_key, strftime(day, '%Y-%m-%d') as day, y as year,
+  quarter(day) as quarter, month(day) as month, strftime(date_trunc('month', day), '%Y-%m-%d') as month_start,
+  day = last_day(day) as is_month_end, weekofyear(day) as iso_week, isodow(day) as weekday, isodow(day) > 5 as is_weekend,
+  y + case when month(day) >= 4 then 1 else 0 end as fiscal_year, ((month(day) + 8) % 12) // 3 + 1 as fiscal_quarter,
+  (month(day) + 8) % 12 + 1 as fiscal_month,
+  case since when 50 then 'Whit Monday' when 39 then 'Ascension' when 1 then 'Easter Monday' when 0 then 'Easter Sunday'
+    when -2 then 'Good Friday' else case strftime(day, '%m-%d') when '12-26' then 'St Stephen' when '12-25' then 'Christmas'
+    when '05-01' then 'Labour Day' when '01-01' then 'New Year' end end as holiday
+from dated
+"""
+
+
+def _dates(c):
+    """The calendar of the facts' days; its fiscal year begins in April."""
+    days = c.fact_order.select(F.col("order_created_at").cast("date").alias("day")).unionByName(
+        c.fact_consumption.select(F.col("consumption_month").alias("day"))
+    )
+    return calendar.dim_date(days, fiscal_start=4)
+
+
+@query("dim_date", sql(f"select * from ({_DATES})"))
+def dim_date(c):
+    return _dates(c)
+
+
+@query(
+    "fact_days",
+    sql(
+        "select date_key, count(*) as orders, cast(sum(net_amount_usd) as double) as net_amount_usd"
+        " from fact_order where date_key is not null group by date_key"
+    ),
+)
+def fact_days(c):
+    """Orders by calendar day: every day of the fact is found in the calendar."""
+    orders = c.fact_order.groupBy("date_key").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("net_amount_usd").alias("net_amount_usd")
+    )
+    return _dates(c).select("date_key").join(orders, "date_key")
