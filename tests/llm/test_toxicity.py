@@ -1,6 +1,10 @@
 """The classifier chain: held-out accuracy, later links, and the plain cases."""
 
+import re
+import zlib
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from watchledger.llm import queries, toxicity
@@ -87,3 +91,77 @@ def test_empty_tables(spark, documents, prose, scratch):
     assert {r.toxic for r in toxicity.score_documents(docs, chain).collect()} == {0.0}
     chain = toxicity.train(docs, labels, categories(), scratch=scratch)
     assert toxicity.score_documents(docs.limit(0), chain).collect() == []
+
+
+# -- from texts to scores, in plain numpy --------------------------------------
+
+
+def brute_features(text):
+    words = set(re.findall(r"[^\W_]+", (text or "").lower()))
+    found = set(words)
+    for size in (4, 6):
+        for start in {w[:size] for w in words if len(w) > size}:
+            n = sum(len(w) > size and w.startswith(start) for w in words)
+            found |= {f"{start}*"} | {f"{start}*{k}" for k in (2, 3, 4) if k <= n}
+    return found
+
+
+def brute_fit(x, y):
+    """Newton's method on the dense matrix, to the end."""
+    if y.all() or not y.any():
+        return np.append(np.zeros(x.shape[1]), 30.0 if y.any() else -30.0)
+    x1 = np.column_stack([x, np.ones(len(x))])
+    ridge = np.append(np.ones(x.shape[1]), 1e-6)
+    w = np.zeros(x1.shape[1])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-x1 @ w))
+        step = np.linalg.solve((x1.T * (p * (1 - p))) @ x1 + np.diag(ridge), x1.T @ (p - y) + ridge * w)
+        w -= step / max(1.0, np.abs(step).max())
+    return w
+
+
+def brute_scores(docs, labels, vocabulary, least):
+    """(poor, toxic) of every document; labels are (doc_id, poor, toxic)."""
+    known = {}
+    for doc_id, *flags in labels:
+        if zlib.crc32(str(doc_id).encode()) % 4 != 2:
+            known[doc_id] = np.maximum(known.get(doc_id, 0), flags)
+    seen = {d: brute_features(t) for d, t in docs}
+    ids = sorted(d for d in seen if d in known)
+    y = np.array([known[d] for d in ids], float)
+    best = {}
+    for word in set().union(*(seen[d] for d in ids)):
+        has = np.array([word in seen[d] for d in ids], float)
+        if has.sum() >= least:
+            spread = has.sum() * (len(ids) - has.sum()) * y.sum(0) * (len(ids) - y.sum(0))
+            off = len(ids) * (has @ y) - has.sum() * y.sum(0)
+            best[word] = max(o * o / s if s else 0.0 for o, s in zip(off, spread))
+    words = sorted(best, key=lambda w: (-best[w], w))[:vocabulary]
+    x = np.array([[w in seen[d] for w in words] for d in ids], float)
+    whole = np.array([[w in seen[d] for w in words] for d, _ in docs], float)
+    fold, made = np.arange(len(ids)) % 3, []
+    for j in range(2):
+        w = brute_fit(x, y[:, j])
+        made.append(1 / (1 + np.exp(-(whole @ w[:-1] + w[-1]))))
+        unseen = np.zeros(len(ids))
+        for k in range(3):
+            part = brute_fit(x[fold != k], y[fold != k, j])
+            unseen[fold == k] = 1 / (1 + np.exp(-(x[fold == k] @ part[:-1] + part[-1])))
+        x, whole = np.column_stack([x, unseen]), np.column_stack([whole, made[-1]])
+    return {d: (a, b) for (d, _), a, b in zip(docs, *made)}
+
+
+def test_scores_match_brute_force_from_the_text_on(spark, scratch):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    poor, toxic = F.col("quality") == 0, F.col("toxic") == 1
+    chain = toxicity.train(
+        docs, labels, {"poor": poor, "toxic": toxic}, vocabulary=150, least_texts=4, scratch=scratch
+    )
+    got = {r.doc_id: (r.poor, r.toxic) for r in toxicity.score_documents(docs, chain).collect()}
+    rows = labels.select("doc_id", poor.cast("int"), toxic.cast("int")).collect()
+    want = brute_scores([tuple(r) for r in docs.collect()], [tuple(r) for r in rows], 150, 4)
+    assert got.keys() == want.keys() and len(got) >= 200
+    for d, pair in want.items():
+        assert got[d] == pytest.approx(pair, abs=0.01), d
