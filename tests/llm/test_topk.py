@@ -33,11 +33,13 @@ def random_rows(count, width=8, seed=0):
 
 
 @pytest.mark.parametrize("shard_rows, block_rows, leaf_rows", [(1000, 1000, 16), (40, 20, 4), (7, 5, 1)])
-def test_matches_brute_force(spark, shard_rows, block_rows, leaf_rows):
+@pytest.mark.parametrize("pivots", [1, 9, 256])
+def test_matches_brute_force(spark, shard_rows, block_rows, leaf_rows, pivots):
     vectors = random_rows(150)
     got = search(
-        spark, list(vectors.items()), shard_rows=shard_rows, block_rows=block_rows, leaf_rows=leaf_rows
-    )
+        spark, list(vectors.items()), shard_rows=shard_rows, block_rows=block_rows,
+        leaf_rows=leaf_rows, pivots=pivots,
+    )
     assert got == brute(vectors, [i for i in vectors if i % 3 == 0], 5)
 
 
@@ -62,16 +64,56 @@ def test_few_and_no_candidates(spark):
     assert search(spark, [(0, [1.0]), (1, [2.0])]) == [(0, 1, 1, 2.0)]
 
 
-def test_tree_prunes_and_bounds_hold():
-    random = np.random.default_rng(1)
-    centres = random.normal(0, 50, (20, 6))
-    rows = np.concatenate([c + random.normal(0, 1, (100, 6)) for c in centres])
+def clustered_rows(clusters, each, seed=1):
+    random = np.random.default_rng(seed)
+    centres = random.normal(0, 50, (clusters, 6))
+    return np.concatenate([c + random.normal(0, 1, (each, 6)) for c in centres])
+
+
+def test_nodes_are_taken_by_bound_and_bounds_hold():
+    rows = clustered_rows(20, 100)
     tree = topk.BallTree(rows, np.arange(2000), 25)
-    query = centres[:1]
-    norms = np.sqrt((query**2).sum(axis=1))
-    kth = np.sort(rows @ query[0])[-5:-4]
-    open_ = list(tree.leaves(query, norms, kth))
-    assert 0 < len(open_) < len(tree.radii) / 8
-    for leaf, bound in tree.leaves(query, norms, np.array([-np.inf])):
-        start, end = tree.slices[leaf]
-        assert (tree.rows[start:end] @ query[0]).max() <= bound[0]
+    query = rows[:3]
+    bounds = tree.bounds(query)
+    for node, (start, end) in enumerate(tree.slices):
+        assert ((query @ tree.rows[start:end].T).max(axis=1) <= bounds[:, node]).all()
+        for child in tree.children[node]:
+            assert child < 0 or (child > node and (bounds[:, child] <= bounds[:, node]).all())
+    kth = np.sort(rows @ query[0])[-5]
+    leaves = np.array([left < 0 for left, _ in tree.children])
+    assert 0 < (leaves & (bounds[0] >= kth)).sum() < len(tree.radii) / 8
+
+
+def test_values_beyond_a_double_lose_nothing():
+    rows = np.array([[1e200, 1.0], [1e200, 2.0], [3.0, 4.0], [-1e200, 5.0]])
+    tree = topk.BallTree(rows, np.arange(4), 1)
+    best = topk.search_shard(tree, np.array([[0.0, 1.0]]), np.array([9]), np.array([-np.inf]), 2)
+    assert best.id.tolist() == [3, 2]
+
+
+def test_moved_rows_are_the_vectors_and_the_kept_pairs(spark, scratch):
+    points = clustered_rows(24, 60)
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    index = topk.Search(df, 5, scratch, shard_rows=30, pivots=64)
+    queries = df.where("id % 10 = 0")
+    home = scratch.stage(index.at_home(queries), "home")
+    first = scratch.stage(index.search(home), "first")
+    pairs = scratch.stage(index.elsewhere(home, first), "pairs")
+    shards = int(index.cells.first[-1])
+    assert index.shards.count() == len(points)
+    assert home.count() == queries.count()
+    # Most shards cannot reach the kth score; each pair is there once.
+    assert pairs.count() == pairs.select("id", "shard").distinct().count()
+    assert pairs.count() < queries.count() * shards / 4
+    # Every vector enters a search once, however many queries there are.
+    plan = index.search(pairs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "Generate" not in plan
+
+
+def test_a_cell_of_most_rows_is_split(spark, scratch):
+    rows = [(i, [1.0, 1.0]) for i in range(400)] + [(400 + i, [float(i), -1.0]) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    index = topk.Search(df, 5, scratch, shard_rows=50)
+    sizes = [r["count"] for r in index.shards.groupBy("shard").count().collect()]
+    assert sum(sizes) == 420 and max(sizes) < 100
