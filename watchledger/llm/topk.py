@@ -1,7 +1,7 @@
 """Exact top-k search by inner product with ball trees.
 
 Vectors are dealt to cells by the nearest of at most ``PIVOTS`` pivots (a bounded
-sample by a hash of the id), and a cell to shards of bounded size by a hash of the
+sample by a hash of the id, one per full shard until then), and a cell to shards of bounded size by a hash of the
 id, so that a cell may hold any part of all rows. A task builds a ball tree over a
 shard: every node has a centre and a radius, and no vector in it has an inner
 product with ``q`` above ``q . centre + |q| * radius``. A search takes the nodes in
@@ -315,8 +315,11 @@ class Search:
         ship_package(vectors.sparkSession)
         self.k, self.scratch = k, scratch
         stored = scratch.stage(vectors, "vectors")
-        width = stored.agg(F.max(F.size("vector"))).first()[0] or 0
-        picked = stored.orderBy(F.xxhash64("id", F.lit(7)), "id").limit(pivots)
+        total, width = stored.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+        width = width or 0
+        # No more cells than full shards: a query crosses to each that it may need.
+        wanted = min(pivots, max(1, math.ceil(total / shard_rows)))
+        picked = stored.orderBy(F.xxhash64("id", F.lit(7)), "id").limit(wanted)
         points = picked.toPandas()["vector"]  # ``pivots`` rows at most
         self.cells = Cells(np.unique(_matrix(points, width), axis=0), shard_rows)
         near = scratch.stage(
