@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from watchledger.plans import calendar, ledger, revenue
+from watchledger.plans import calendar, clustered, ledger, packs, revenue
 from watchledger.sources.commerce import SECOND_LOAD
 from workload import models
 from workload.oracle_models import columns, ratio, sql
@@ -442,3 +442,96 @@ def fact_days(c):
         F.count(F.lit(1)).alias("orders"), F.sum("net_amount_usd").alias("net_amount_usd")
     )
     return _dates(c).select("date_key").join(orders, "date_key")
+
+
+# -- clustered facts -------------------------------------------------------
+
+
+def _clustered(c):
+    if not hasattr(c, "clustered"):
+        fact = c.fact_consumption
+        c.clustered = clustered.ClusteredFact.write(
+            fact, c.scratch.folder("clustered"), clustered.buckets_for(fact.count())
+        )
+    return c.clustered
+
+
+@query(
+    "clustered_customer_months",
+    sql(
+        "select customer_key, strftime(consumption_month, '%Y-%m-%d') as consumption_month,"
+        " cast(sum(total_minutes_consumed) as bigint) as minutes, count(*) as titles,"
+        " count(*) filter (is_revenue_eligible) as paid_titles from fact_consumption group by all"
+    ),
+)
+def clustered_customer_months(c):
+    return clustered.customer_months(_clustered(c))
+
+
+#: Courses whose months are looked up.
+COURSES = (1, 2, 3, 5, 8, 13, 21, 34)
+
+
+@query(
+    "clustered_course_months",
+    sql(
+        "select course_key, strftime(consumption_month, '%Y-%m-%d') as consumption_month,"
+        " cast(sum(total_minutes_consumed) as bigint) as minutes, count(*) as viewers"
+        f" from fact_consumption where course_key in {COURSES} group by all"
+    ),
+)
+def clustered_course_months(c):
+    return clustered.course_months(_clustered(c), COURSES)
+
+
+# -- revenue of packs ------------------------------------------------------
+#
+# The tables have no groups of customers; eight neighbours by id make one here.
+
+TEAM = 8
+
+_PACK_MODEL = f"""
+  with members as (
+    select customer_id // {TEAM} as group_id, customer_key from dim_customer where is_current),
+  minutes as (
+    select customer_key, consumption_month, sum(total_minutes_consumed) as w
+    from fact_consumption group by all),
+  spread as (
+    select o.order_key, o.customer_key as buyer_key, m.customer_key as member_key,
+      cast(date_trunc('month', o.order_created_at) as date) as revenue_month, o.net_amount_usd,
+      cast(coalesce(w.w, 0) as bigint) as member_minutes,
+      cast(abs(o.net_amount_usd) * 100 as bigint) as whole
+    from fact_order o left join members b on b.customer_key = o.customer_key
+    left join members m on m.group_id = b.group_id
+    left join minutes w on w.customer_key = m.customer_key
+      and w.consumption_month = cast(date_trunc('month', o.order_created_at) as date)
+    where contains(upper(o.line_items), 'PACK') and o.subscription_type is null
+      and o.net_amount_usd is not null),
+  weighed as (
+    select *, sum(member_minutes) over g as total, count(*) over g as n
+    from spread window g as (partition by order_key)),
+  dealt as (
+    select *, case when total = 0 then 1 else member_minutes end as w,
+      cast(case when total = 0 then n else total end as bigint) as t from weighed),
+  placed as (
+    select *, (whole * w) // t as part, row_number() over (
+      partition by order_key order by (whole * w) % t desc, member_key) as place from dealt)
+  select *, sign(net_amount_usd) * (part + case when place <= whole - sum(part) over (
+    partition by order_key) then 1 else 0 end) as signed from placed
+"""
+
+
+@query(
+    "pack_revenue",
+    sql(
+        "select order_key, buyer_key, member_key, strftime(revenue_month, '%Y-%m-%d') as revenue_month,"
+        " member_minutes, cast(net_amount_usd as double) as net_amount_usd,"
+        f" cast(cast(signed as decimal(18,0)) * 0.01 as double) as member_revenue from ({_PACK_MODEL})"
+    ),
+)
+def pack_revenue(c):
+    team = F.call_function("div", F.col("customer_id"), F.lit(TEAM)).alias("group_id")
+    members = c.dim_customer.where("is_current").select(team, "customer_key")
+    return packs.pack_revenue(
+        packs.pack_orders(c.fact_order), members, c.fact_consumption, c.scratch
+    )
