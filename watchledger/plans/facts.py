@@ -111,12 +111,13 @@ def fact_consumption(
     scratch: Scratch,
 ) -> DataFrame:
     """Minutes per customer, course and month, with the share of the month."""
-    matched = minutes_by_keys(consumption, customers, courses)
-    matched = scratch.stage(matched, "matched-minutes")
     group = ["customer_key", "consumption_month"]
-    total = group_total(matched, group, "total_minutes_consumed", "month_minutes")
     grain = ["customer_key", "course_key", "consumption_month"]
-    keyed = number_rows(total, grain, scratch, "consumption_key")
+    with scratch.within("consumption-steps") as steps:
+        matched = minutes_by_keys(consumption, customers, courses)
+        matched = steps.stage(matched, "matched-minutes")
+        total = group_total(matched, group, "total_minutes_consumed", "month_minutes")
+        keyed = number_rows(total, grain, scratch, "consumption_key")
     spent = F.col("total_minutes_consumed")
     return keyed.select(
         "consumption_key",

@@ -32,7 +32,7 @@ class Context:
     ):
         self.spark, self.folder, self.settings = spark, folder, settings
         self.raw = Commerce(spark, folder)
-        self.scratch = Scratch(spark)
+        self.scratch = Scratch(spark, free=True)
 
     def stored(self, df: DataFrame, name: str) -> DataFrame:
         return self.scratch.stage(df, name)
@@ -78,38 +78,35 @@ class Context:
 
     @cached_property
     def dim_course(self) -> DataFrame:
-        built = dimensions.dim_course(self.stg_courses, self.scratch)
-        return self.stored(built, "dim_course")
+        with self.scratch.within("dim_course-steps") as steps:
+            return self.stored(dimensions.dim_course(self.stg_courses, steps), "dim_course")
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        built = dimensions.dim_customer(self.snap_customer, self.scratch)
-        return self.stored(built, "dim_customer")
+        with self.scratch.within("dim_customer-steps") as steps:
+            return self.stored(dimensions.dim_customer(self.snap_customer, steps), "dim_customer")
 
     @cached_property
     def fact_order(self) -> DataFrame:
-        built = facts.fact_order(
-            self.stg_orders, self.dim_customer, self.settings, self.scratch
-        )
-        return self.stored(built, "fact_order")
+        with self.scratch.within("fact_order-steps") as steps:
+            built = facts.fact_order(self.stg_orders, self.dim_customer, self.settings, steps)
+            return self.stored(built, "fact_order")
 
     @cached_property
     def fact_consumption(self) -> DataFrame:
-        built = facts.fact_consumption(
-            self.stg_consumption,
-            self.dim_customer,
-            self.dim_course,
-            self.settings,
-            self.scratch,
-        )
-        return self.stored(built, "fact_consumption")
+        with self.scratch.within("fact_consumption-steps") as steps:
+            built = facts.fact_consumption(
+                self.stg_consumption, self.dim_customer, self.dim_course, self.settings, steps
+            )
+            return self.stored(built, "fact_consumption")
 
     @cached_property
     def fact_revenue_attribution(self) -> DataFrame:
-        built = facts.fact_revenue_attribution(
-            self.fact_order, self.fact_consumption, self.settings, self.scratch
-        )
-        return self.stored(built, "fact_revenue_attribution")
+        with self.scratch.within("fact_revenue_attribution-steps") as steps:
+            built = facts.fact_revenue_attribution(
+                self.fact_order, self.fact_consumption, self.settings, steps
+            )
+            return self.stored(built, "fact_revenue_attribution")
 
     @cached_property
     def faulty_attribution(self) -> DataFrame:
@@ -133,10 +130,11 @@ class Context:
 
     @cached_property
     def course_months(self) -> DataFrame:
-        built = views.course_months(
-            self.fact_revenue_attribution, self.dim_course, self.settings, self.scratch
-        )
-        return self.stored(built, "course_months")
+        with self.scratch.within("course_months-steps") as steps:
+            built = views.course_months(
+                self.fact_revenue_attribution, self.dim_course, self.settings, steps
+            )
+            return self.stored(built, "course_months")
 
     def view_course_revenue_monthly(self) -> DataFrame:
         return views.view_course_revenue_monthly(self.course_months)
