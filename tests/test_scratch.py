@@ -7,8 +7,9 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from watchledger import scratch as scratch_module
 from watchledger.plans import quality
-from watchledger.scratch import FREE, Scratch, freed_shuffles
+from watchledger.scratch import FREE, Scratch, freed_shuffles, shared_folder
 from watchledger.settings import Settings
 from workload.context import Context
 from workload.models import build_pipeline
@@ -104,3 +105,66 @@ def test_sums_of_a_build_are_stored_table_by_table(spark):
         assert sums.count() == 15
         assert all("-sums-" in f for f in sums.inputFiles())
         assert not [name for name in folders(c.scratch.root) if name.endswith("steps")]
+
+
+@pytest.fixture
+def mount(spark, tmp_path, monkeypatch):
+    """A checkpoint folder without a store, as a cluster's session sees it."""
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://head:7077")
+    monkeypatch.setattr(scratch_module, "_tried", {}, raising=False)
+    named(spark, monkeypatch, f"file:{tmp_path}")
+    return tmp_path
+
+
+def named(spark, monkeypatch, folder):
+    """Have the session's settings name the folder, or none."""
+    get = type(spark.conf).get
+    key = "spark.checkpoint.dir"
+    monkeypatch.setattr(
+        type(spark.conf), "get", lambda self, k, *a: folder if k == key else get(self, k, *a)
+    )
+    monkeypatch.setattr(spark.sparkContext, "getCheckpointDir", lambda: folder)
+
+
+def test_a_mount_that_all_machines_share_is_taken(spark, mount):
+    assert shared_folder(spark) == f"file:{mount}"
+    assert not list(mount.iterdir())
+    with Context(spark, FOLDER, Settings()).scratch as scratch:
+        assert scratch.stage(dealt(spark), "sums").count() == 100
+
+
+def test_a_mount_is_tried_out_once_for_the_same_hosts(spark, mount, monkeypatch):
+    trials, stage = [], Scratch.stage
+    monkeypatch.setattr(
+        Scratch, "stage", lambda self, df, name: trials.append(name) or stage(self, df, name)
+    )
+    for _ in range(3):
+        shared_folder(spark)
+    assert trials == ["trial"]
+    for hosts in scratch_module._tried.values():
+        hosts.clear()
+    shared_folder(spark)
+    assert trials == ["trial", "trial"]
+
+
+def test_a_folder_that_lacks_what_executors_wrote_is_refused(spark, mount, monkeypatch):
+    stage = Scratch.stage
+
+    def elsewhere(self, df, name):
+        """Where one file is on the disk of another machine."""
+        stage(self, df, name)
+        written = mount.glob("run-*/*-trial/part-*")
+        next(written).unlink()
+        return self.spark.read.schema(df.schema).parquet(str(next(mount.glob("run-*/*-trial"))))
+
+    monkeypatch.setattr(Scratch, "stage", elsewhere)
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="local to each machine"):
+            shared_folder(spark)
+    assert not list(mount.iterdir())
+
+
+def test_a_cluster_without_a_folder_is_refused(spark, mount, monkeypatch):
+    named(spark, monkeypatch, None)
+    with pytest.raises(RuntimeError, match="set spark.checkpoint.dir"):
+        shared_folder(spark)
