@@ -17,6 +17,7 @@ from workload import context as context_module  # noqa: E402
 FOLDER = "/root/testdata/sf0.001"
 NAMES = [
     "pipeline",
+    "op1_mix_sources",
 ]
 
 
