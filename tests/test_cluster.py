@@ -18,6 +18,7 @@ FOLDER = "/root/testdata/sf0.001"
 NAMES = [
     "pipeline",
     "op1_mix_sources",
+    "op4_toxicity",
 ]
 
 
