@@ -19,6 +19,7 @@ NAMES = [
     "pipeline",
     "op1_mix_sources",
     "op4_toxicity",
+    "op5_benchmark_leaks",
 ]
 
 
