@@ -20,6 +20,7 @@ NAMES = [
     "op1_mix_sources",
     "op4_toxicity",
     "op5_benchmark_leaks",
+    "op6_quality",
 ]
 
 
