@@ -21,6 +21,7 @@ NAMES = [
     "op4_toxicity",
     "op5_benchmark_leaks",
     "op6_quality",
+    "op8_simhash_components",
 ]
 
 
