@@ -22,6 +22,7 @@ NAMES = [
     "op5_benchmark_leaks",
     "op6_quality",
     "op8_simhash_components",
+    "op9_exact_top_k",
 ]
 
 
