@@ -23,6 +23,7 @@ NAMES = [
     "op6_quality",
     "op8_simhash_components",
     "op9_exact_top_k",
+    "op10_warc_round_trip",
 ]
 
 
