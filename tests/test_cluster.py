@@ -24,6 +24,7 @@ NAMES = [
     "op8_simhash_components",
     "op9_exact_top_k",
     "op10_warc_round_trip",
+    "op11_exact_dedup",
 ]
 
 
