@@ -25,6 +25,7 @@ NAMES = [
     "op9_exact_top_k",
     "op10_warc_round_trip",
     "op11_exact_dedup",
+    "op13_conversation_repair",
 ]
 
 
