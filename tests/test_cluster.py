@@ -26,6 +26,7 @@ NAMES = [
     "op10_warc_round_trip",
     "op11_exact_dedup",
     "op13_conversation_repair",
+    "abs_diff",
 ]
 
 
