@@ -27,6 +27,7 @@ NAMES = [
     "op11_exact_dedup",
     "op13_conversation_repair",
     "abs_diff",
+    "agg_avg",
 ]
 
 
