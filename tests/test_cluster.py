@@ -28,6 +28,7 @@ NAMES = [
     "op13_conversation_repair",
     "abs_diff",
     "agg_avg",
+    "agg_count",
 ]
 
 
