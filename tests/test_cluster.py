@@ -31,6 +31,7 @@ NAMES = [
     "agg_count",
     "agg_count_distinct",
     "agg_count_distinct_if",
+    "agg_max",
 ]
 
 
