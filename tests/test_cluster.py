@@ -32,6 +32,7 @@ NAMES = [
     "agg_count_distinct",
     "agg_count_distinct_if",
     "agg_max",
+    "agg_of_agg",
 ]
 
 
