@@ -33,6 +33,7 @@ NAMES = [
     "agg_count_distinct_if",
     "agg_max",
     "agg_of_agg",
+    "agg_ratio_safe",
 ]
 
 
