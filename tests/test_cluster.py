@@ -34,6 +34,7 @@ NAMES = [
     "agg_max",
     "agg_of_agg",
     "agg_ratio_safe",
+    "agg_multi_key",
 ]
 
 
