@@ -35,6 +35,7 @@ NAMES = [
     "agg_of_agg",
     "agg_ratio_safe",
     "agg_multi_key",
+    "agg_sum",
 ]
 
 
