@@ -36,6 +36,7 @@ NAMES = [
     "agg_ratio_safe",
     "agg_multi_key",
     "agg_sum",
+    "amortize_monthly",
 ]
 
 
