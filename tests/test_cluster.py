@@ -38,6 +38,7 @@ NAMES = [
     "agg_sum",
     "amortize_monthly",
     "anti_join_orphans",
+    "agg_sum_if",
 ]
 
 
