@@ -39,6 +39,7 @@ NAMES = [
     "amortize_monthly",
     "anti_join_orphans",
     "agg_sum_if",
+    "build_checks",
 ]
 
 
