@@ -40,6 +40,7 @@ NAMES = [
     "anti_join_orphans",
     "agg_sum_if",
     "build_checks",
+    "case_amount",
 ]
 
 
