@@ -41,6 +41,7 @@ NAMES = [
     "agg_sum_if",
     "build_checks",
     "case_amount",
+    "build_pipeline",
 ]
 
 
