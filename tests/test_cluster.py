@@ -44,6 +44,7 @@ NAMES = [
     "build_pipeline",
     "case_classify_like",
     "case_recency_status",
+    "case_flag",
 ]
 
 
