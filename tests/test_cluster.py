@@ -45,6 +45,7 @@ NAMES = [
     "case_classify_like",
     "case_recency_status",
     "case_flag",
+    "cast_numeric",
 ]
 
 
