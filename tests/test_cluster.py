@@ -47,6 +47,7 @@ NAMES = [
     "case_flag",
     "cast_numeric",
     "cast_blank_to_null",
+    "coalesce_default",
 ]
 
 
