@@ -49,6 +49,7 @@ NAMES = [
     "cast_blank_to_null",
     "coalesce_default",
     "clustered_course_months",
+    "cohort_retention",
 ]
 
 
